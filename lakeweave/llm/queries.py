@@ -21,9 +21,77 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeweave.llm.packing import best_fit_pack
+
+    return best_fit_pack(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeweave.llm.near_dups import near_duplicates
+
+    return near_duplicates(spark, table(spark, sf_dir, "documents"), low=85, high=100, n=5)
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from lakeweave.llm.topk import top_k
+
+    return top_k(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeweave.llm.warc import warc_round_trip
+
+    return warc_round_trip(spark, table(spark, sf_dir, "pages"), min_bytes=0).drop("url")
+
+
+#: Base 32 of the SHA-1: 160 bits in 32 groups of 5.
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (
+  SELECT hex, string_agg(substr('0000000100100011010001010110011110001001101010111100110111101111',
+           1 + 4 * (instr('0123456789abcdef', substr(hex, i, 1)) - 1), 4), '' ORDER BY i) AS b
+  FROM (SELECT DISTINCT hex FROM p), (SELECT unnest(range(1, 41)) AS i) GROUP BY hex),
+digest AS (
+  SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(b, 5 * g + 1, 1) AS INT)
+           + 8 * CAST(substr(b, 5 * g + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * g + 3, 1) AS INT)
+           + 2 * CAST(substr(b, 5 * g + 4, 1) AS INT) + CAST(substr(b, 5 * g + 5, 1) AS INT), 1), '' ORDER BY g) AS d
+  FROM bits, (SELECT unnest(range(0, 32)) AS g) GROUP BY hex),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT m.page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, digest.d AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM m JOIN digest USING (hex)
+"""
+
+
 def queries() -> dict:
-    return {"op3_token_files": op3_token_files}
+    return {
+        "op3_token_files": op3_token_files,
+        "op4_best_fit_packing": op4_best_fit_packing,
+        "op7_near_duplicates": op7_near_duplicates,
+        "op8_exact_top_k": op8_exact_top_k,
+        "op9_warc": op9_warc,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_exact_top_k": OP8_SQL, "op9_warc": OP9_SQL}

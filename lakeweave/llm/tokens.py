@@ -133,7 +133,7 @@ class ChunkEncoder:
                 out = np.concatenate(parts)
         return ends, out
 
-    def encode_column(self, column: pa.Array, most: int = 16 << 20):
+    def encode_column(self, column: pa.Array, most: int = 10 << 20):
         """(first row, offsets, ids) for slices of bounded bytes; nulls count as empty texts."""
         for at, part in byte_slices(column, most):
             yield at, *self.encode(part)
