@@ -27,6 +27,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeweave.llm.toxicity import toxicity
+
+    return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeweave.llm.near_dups import near_duplicates
 
@@ -87,6 +93,7 @@ def queries() -> dict:
     return {
         "op3_token_files": op3_token_files,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op6_toxicity": op6_toxicity,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_warc": op9_warc,
