@@ -15,6 +15,55 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeweave.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+def _op2_sql() -> str:
+    from lakeweave.llm import quality_rules as q
+
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    chars, marks = q.class_marks()
+    points = "[" + ", ".join(str(ord(c)) for c in chars) + "]"
+    array = lambda rows: "[" + ", ".join("[" + ", ".join(repr(x) for x in r) + "]" for r in rows) + "]"
+    common, term = q.common_words(), "(CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END)"
+    nearest = lambda h, rows: f"sqrt(greatest(0, list_min(list_transform({array(rows)}, lambda r: list_sum(list_transform(range(1, len(r) + 1), lambda j: ({term.format(h + '[j]', 'r[j]')} + {term.format('r[j]', h + '[j]')}) / 2))))))"
+    in_class = ", ".join(f"length(t) - length(regexp_replace(t, '[{''.join(chr(92) + 'x%02x' % ord(c) for c, m in zip(chars, marks, strict=True) if m == k)}]', '', 'g'))" for k in q.CLASSES)
+    return rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+grams AS (
+  SELECT k, i, words[i:i + 4] AS g FROM w, LATERAL (SELECT unnest(range(1, len(words) - 3)) AS i)),
+twice AS (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS c FROM grams),
+repeated AS (
+  SELECT k, count(DISTINCT i + d) AS n FROM (SELECT k, i FROM twice WHERE c > 1), (SELECT unnest(range(0, 5)) AS d) GROUP BY k),
+c AS (
+  SELECT w.*, CAST(len(words) AS BIGINT) AS n_words, length(t) AS n_chars, coalesce(repeated.n, 0) AS n_repeat_words,
+         [{in_class}] AS in_class,
+         list_transform([{", ".join(map(quoted, common))}], lambda x: len(list_filter(words, lambda y: y = x))) AS common
+  FROM w LEFT JOIN repeated USING (k)),
+h AS (
+  SELECT *, list_transform(list_append(in_class, n_chars - list_sum(in_class)), lambda x: x / nullif(n_chars, 0)) AS classes,
+         list_transform(list_append(common, n_words - list_sum(common)), lambda x: x / nullif(n_words, 0)) AS shares
+  FROM c),
+d AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         CASE WHEN n_chars >= 200 AND classes[8] <= 0.5 THEN {nearest("classes", q.class_table())} ELSE 0 END AS far_classes,
+         CASE WHEN n_words >= 60 THEN {nearest("shares", q.word_table())} ELSE 0 END AS far_words
+  FROM h)
+SELECT doc_id, n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+       CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+       CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND far_classes <= 0.35 AND far_words <= 0.62 AS kept
+FROM d
+"""
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeweave.llm.token_files import token_files
 
@@ -89,16 +138,64 @@ FROM m JOIN digest USING (hex)
 """
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeweave.llm.licenses import license_scan
+
+    return license_scan(spark, table(spark, sf_dir, "documents"))
+
+
+def _op10_sql() -> str:
+    from lakeweave.llm.licenses import PHRASES, TEMPLATES
+
+    templates = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+    phrases = ", ".join(f"('{label}', '{phrase}')" for phrase, label in PHRASES.items())
+    return rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents),
+p AS (SELECT label, string_split(phrase, ' ') AS f FROM (VALUES {phrases}) v(label, phrase)),
+base AS (
+  SELECT k, i, label FROM (SELECT k, words, unnest(range(1, len(words) + 1)) AS i FROM w WHERE list_contains(words, 'license')), p
+  WHERE words[i:i + len(f) - 1] = f),
+base_of AS (
+  SELECT k, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list_distinct(list(label)) AS own FROM base GROUP BY k),
+t AS (SELECT template, label, string_split(words, ' ') AS f FROM (VALUES {templates}) v(template, label, words)),
+tg AS (SELECT template, label, len(f) AS t_words, i AS t_place, f[i:i + 2] AS g FROM t, LATERAL (SELECT unnest(range(1, len(f) - 1)) AS i)),
+dg AS (SELECT k, i AS place, words[i:i + 2] AS g FROM w, LATERAL (SELECT unnest(range(1, len(words) - 1)) AS i)),
+votes AS (SELECT DISTINCT k, template, label, t_words, place - t_place AS diagonal, t_place FROM dg JOIN tg USING (g)),
+lines AS (SELECT DISTINCT k, template, diagonal FROM votes),
+marked AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY k, template ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS new FROM lines),
+spans AS (SELECT k, template, diagonal, sum(new) OVER (PARTITION BY k, template ORDER BY diagonal) AS span FROM marked),
+hits AS (SELECT DISTINCT k, template, label, t_words, span, t_place FROM votes JOIN spans USING (k, template, diagonal)),
+steps AS (
+  SELECT *, least(3, coalesce(lead(t_place) OVER (PARTITION BY k, template, span ORDER BY t_place) - t_place, 3)) AS step FROM hits),
+sound AS (
+  SELECT k, label, t_words, sum(step) AS covered FROM steps GROUP BY k, template, label, t_words, span
+  HAVING sum(step) >= 5 AND sum(step) >= 0.6 * (max(t_place) - min(t_place) + 3)),
+more_of AS (SELECT k, list(label) AS more, max(covered / t_words) AS score FROM sound GROUP BY k)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(own), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(more, [])))), ','), '') AS labels,
+       coalesce(score, 0.0) AS score
+FROM w LEFT JOIN base_of USING (k) LEFT JOIN more_of USING (k)
+"""
+
+
 def queries() -> dict:
     return {
+        "op2_quality_rules": op2_quality_rules,
         "op3_token_files": op3_token_files,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_toxicity": op6_toxicity,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_warc": op9_warc,
+        "op10_license_scan": op10_license_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_top_k": OP8_SQL, "op9_warc": OP9_SQL}
+    return {"op2_quality_rules": _op2_sql(), "op8_exact_top_k": OP8_SQL, "op9_warc": OP9_SQL, "op10_license_scan": _op10_sql()}
