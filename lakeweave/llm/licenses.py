@@ -59,7 +59,7 @@ def license_scan(spark: SparkSession, docs: DataFrame, k: int = K, drift: int =
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")))
     # The Kelvin sign would become an ASCII k; only A-Z may change into ASCII letters.
-    lowered = F.lower(F.replace("text", F.lit("K"), F.lit("ĸ")))
+    lowered = F.lower(F.replace("text", F.lit("\u212a"), F.lit("\u0138")))
     words = rows.select("doc_id", F.xxhash64("text").alias("mark"), F.filter(F.split(lowered, BREAK), lambda w: w != "").alias("words"))
 
     def places(phrase: str) -> str:

@@ -76,6 +76,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeweave.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeweave.llm.toxicity import toxicity
 
@@ -189,6 +195,7 @@ def queries() -> dict:
         "op2_quality_rules": op2_quality_rules,
         "op3_token_files": op3_token_files,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_bpe_transducer": op5_bpe_transducer,
         "op6_toxicity": op6_toxicity,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_exact_top_k": op8_exact_top_k,

@@ -55,8 +55,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         config = json.load(open(path, encoding="utf-8"))
-        self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
+        self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.words = config.get("normalizer") is not None
         self.pattern = regex.compile(WORD_PATTERN if self.words else BYTE_PATTERN)
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
@@ -102,6 +102,9 @@ class ChunkEncoder:
     def _odd(self, text: bytes) -> bool:
         return any(s in text for s in self.special) or any(w in text for w in _WIDE_BYTES) and bool(_WIDE_THEN_ASCII.search(text.decode()))
 
+    def _whole(self, raw: bytes) -> np.ndarray:
+        return np.array(self.library.encode(raw.decode(), add_special_tokens=False).ids, np.uint32)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, uint32 ids) of a large_string array without nulls."""
         data, off = bytes_of(texts)
@@ -128,7 +131,7 @@ class ChunkEncoder:
             if odd:
                 parts = [out[ends[i] : ends[i + 1]] for i in range(n)]
                 for i in odd:
-                    parts[i] = np.array(self.whole.encode(raw[off[i] : off[i + 1]].decode(), add_special_tokens=False).ids, np.uint32)
+                    parts[i] = self._whole(raw[off[i] : off[i + 1]])
                 ends = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
                 out = np.concatenate(parts)
         return ends, out
