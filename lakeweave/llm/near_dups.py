@@ -170,7 +170,7 @@ def _cells(table: pa.Table, least: int):
     table = table.combine_chunks()
     cells, side = table["cell"].to_numpy(), table["side"].to_numpy()
     keys, roots, blocks = table["key"].to_pylist(), table["root"].to_pylist(), table["block"].to_pylist()
-    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(keys), -1)
+    sig, turns = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(keys), -1), table["turn"].to_numpy()
     bounds = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]
     out_a, out_block, out_b = [], [], []
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
@@ -178,8 +178,10 @@ def _cells(table: pa.Table, least: int):
         members = sig[cut:hi]
         for i in range(lo, cut):
             by_block: dict[int, list[bytes]] = {}
-            for j in np.flatnonzero((members == sig[i]).sum(axis=1) >= least).tolist():
-                if roots[cut + j] != roots[i]:
+            same = members == sig[i]
+            for j in np.flatnonzero(same.sum(axis=1) >= least).tolist():
+                # A pair that shares several bands is listed in the first of them only.
+                if roots[cut + j] != roots[i] and same[j].reshape(-1, ROWS).all(axis=1).argmax() == turns[i]:
                     by_block.setdefault(blocks[cut + j], []).append(keys[cut + j])
             for b, others in by_block.items():
                 out_a.append(keys[i]), out_block.append(b), out_b.append(others)
@@ -192,7 +194,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, low: int = 85, high: i
     per_doc = written(spark, document_sets(docs, n), "sets-of-documents")
     far = F.lit(2**63 - 1)
     classes = written(spark, per_doc.where("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", far)).alias("first"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")), "classes")
-    rows = classes.select("key", "sig", F.explode("bands").alias("band"))
+    rows = classes.select("key", F.posexplode("bands").alias("turn", "band"))
     shared = rows.groupBy("band").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written(spark, rows.join(shared, "band"), "buckets")
     inside = written(spark, members.select("key").distinct().join(classes.select("key", F.col("first").alias("id")), "key"), "bucket-members")
@@ -204,21 +206,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, low: int = 85, high: i
         stars = members.where("key <> rep").groupBy(F.col("rep").alias("a"), block).agg(F.collect_set("key").alias("others"))
         edges = written(spark, exact_links(stars, sets, blocks, low, high), "links")
         roots = components(spark, edges)
-        placed = members.join(roots.withColumnRenamed("node", "key"), "key", "left").select("band", "n", "key", "sig", F.coalesce("root", "key").alias("root"))
+        placed = members.join(roots.withColumnRenamed("node", "key"), "key", "left").select("band", "turn", "n", "key", F.coalesce("root", "key").alias("root"))
         placed = written(spark, placed, "placed")
         tops = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
-        open_ = placed.join(tops.where("roots > 1").select("band", F.col("m.root").alias("top")), "band")
+        open_ = placed.join(tops.where("roots > 1").select("band", F.col("m.root").alias("top")), "band").join(classes.select("key", "sig"), "key")
+        late_blocks = max(1, -(-n_in // BLOCK))
+        late_block = F.pmod(F.xxhash64("key"), F.lit(late_blocks)).cast("int").alias("block")
         wide = F.ceil(F.col("n") / CELL).cast("int")
         spot = lambda seed: F.pmod(F.xxhash64("key", F.lit(seed)), wide)
         every = F.explode(F.sequence(F.lit(0).cast("long"), (wide - 1).cast("long")))
         asks = open_.where("root <> top").withColumn("x", spot(1)).withColumn("y", every).withColumn("side", F.lit(0))
         hears = open_.withColumn("y", spot(2)).withColumn("x", every).withColumn("side", F.lit(1))
-        cells = asks.unionByName(hears).select(F.xxhash64("band", "x", "y").alias("cell"), "side", "key", "root", "sig", block)
+        cells = asks.unionByName(hears).select(F.xxhash64("band", "x", "y").alias("cell"), "side", "turn", "key", "root", "sig", late_block)
         share = low / high
         least = int(BANDS * ROWS * share - SLACK * (BANDS * ROWS * share * (1 - share)) ** 0.5)
         pairs = cells.repartition(shuffle_width(spark), "cell").sortWithinPartitions("cell", "side").mapInArrow(lambda b: _compare_cells(b, least), "a binary, block int, others array<binary>")
         late = pairs.groupBy("a", "block").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
-        more = exact_links(late, sets, blocks, low, high)
+        more = exact_links(late, sets, late_blocks, low, high)
         edges = edges.unionByName(more)
     labels = classes.select("key", "first", F.col("key").alias("root"), "copies")
     if edges is not None:
