@@ -15,6 +15,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from lakeweave.llm.common import crc_bucket
+    from lakeweave.llm.ngram_lm import lm_scores
+
+    held_out = crc_bucket(F.col("doc_id"), 7) == 2
+    found = lm_scores(spark, table(spark, sf_dir, "documents"), held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeweave.llm.quality_rules import quality_rules
 
@@ -192,6 +203,7 @@ FROM w LEFT JOIN base_of USING (k) LEFT JOIN more_of USING (k)
 
 def queries() -> dict:
     return {
+        "op1_lm_scores": op1_lm_scores,
         "op2_quality_rules": op2_quality_rules,
         "op3_token_files": op3_token_files,
         "op4_best_fit_packing": op4_best_fit_packing,
