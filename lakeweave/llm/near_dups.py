@@ -234,3 +234,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, low: int = 85, high: i
     out = per_doc.select("doc_id", "n_shingles", "key").join(names, "key", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of docs, all their columns, less all but the smallest doc_id of each component.
+
+    Rows that repeat a kept row's doc_id and text go as well; rows with a null doc_id stay.
+    """
+    found = written(spark, near_duplicates(spark, docs), "near-duplicates")
+    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return left
+    twice = left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(twice)

@@ -73,15 +73,16 @@ def word_table() -> list[list[float]]:
     return [[*(r.get(w, 0.0) for w in common_words()), 1 - sum(r.values())] for r in WORD_REFERENCES.values()]
 
 
-def quality_rules(docs: DataFrame, far_classes: float = 0.35, far_words: float = 0.62, least_chars: int = 200, least_words: int = 60) -> DataFrame:
-    """Base counts and verdicts for docs (doc_id, text)."""
-    rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+def quality_rules(docs: DataFrame, far_classes: float = 0.35, far_words: float = 0.62, least_chars: int = 200, least_words: int = 60, carry: list[str] | None = None) -> DataFrame:
+    """Base counts and verdicts for docs (doc_id, text); ``carry`` names the columns that go along (doc_id)."""
+    own = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.struct(F.col("doc_id").cast("long").alias("doc_id"))
+    rows = spread(docs.select(own.alias("own"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     chars, marks = class_marks()
     bare, space = "text", WS_CLASS.replace("\\", "\\\\")  # SQL literals unescape backslashes
     for c in SYMBOLS:
         bare = f"replace({bare}, '{c}', '')"
     words = rows.selectExpr(
-        "doc_id",
+        "own",
         f"filter(split(text, '{space}+'), w -> w <> '') AS words",
         "length(text) AS n_chars",
         f"length(text) - length({bare}) AS n_symbols",
@@ -91,7 +92,7 @@ def quality_rules(docs: DataFrame, far_classes: float = 0.35, far_words: float =
     gram = ", ".join(f"words[i + {k}]" for k in range(5))
     used = "(" + ", ".join(map(_quote, common_words())) + ")"
     counted = words.selectExpr(
-        "doc_id",
+        "own",
         "CAST(size(words) AS LONG) AS n_words",
         "CAST(length(array_join(words, '')) AS LONG) AS word_chars",
         "CAST(n_symbols AS LONG) AS n_symbols",
@@ -102,21 +103,29 @@ def quality_rules(docs: DataFrame, far_classes: float = 0.35, far_words: float =
         f"CASE WHEN size(words) < 6 THEN array() ELSE transform(sequence(0, size(words) - 5), i -> xxhash64({gram})) END AS windows",
     )
     sorted_ = counted.selectExpr(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_chars",
+        "own", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_chars",
         "CASE WHEN n_chars = 0 THEN NULL ELSE transform(concat(in_class, array(n_chars - aggregate(in_class, 0, (a, x) -> a + x))), x -> CAST(x AS DOUBLE) / n_chars) END AS classes",
         f"transform(array({', '.join(map(_quote, common_words()))}), w -> (length(known) - length(replace(known, concat(' ', w, ' '), ''))) / (length(w) + 2)) AS common",
         "CASE WHEN size(windows) = size(array_distinct(windows)) THEN array() ELSE sort_array(transform(windows, (h, i) -> struct(h, i))) END AS ordered",
     )
     placed = sorted_.withColumn("places", F.expr("sort_array(transform(filter(ordered, (x, i) -> x.h <=> get(ordered, i - 1).h OR x.h <=> get(ordered, i + 1).h), x -> x.i))")).drop("ordered")
     judged = placed.selectExpr(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_chars", "classes",
+        "own", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_chars", "classes",
         "CAST(aggregate(zip_with(places, slice(places, 2, greatest(1, size(places))), (a, b) -> least(5, coalesce(b - a, 5))), 0, (a, x) -> a + x) AS LONG) AS n_repeat_words",
         "CASE WHEN n_words = 0 THEN NULL ELSE transform(concat(common, array(n_words - aggregate(common, 0D, (a, x) -> a + x))), x -> x / n_words) END AS shares",
     )
     far = judged.selectExpr(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "own", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed",
         f"CASE WHEN n_chars >= {least_chars} AND element_at(classes, -1) <= 0.5D THEN {nearest_sql('classes', class_table())} END AS class_distance",
         f"CASE WHEN n_words >= {least_words} THEN {nearest_sql('shares', word_table())} END AS word_distance",
     )
-    return far.withColumn("kept", F.expr(f"NOT base_failed AND coalesce(class_distance, 0D) <= {far_classes}D AND coalesce(word_distance, 0D) <= {far_words}D"))
+    kept = F.expr(f"NOT base_failed AND coalesce(class_distance, 0D) <= {far_classes}D AND coalesce(word_distance, 0D) <= {far_words}D")
+    if carry:
+        return far.select("own", kept.alias("kept"))
+    return far.withColumn("kept", kept).select("own.doc_id", *far.columns[1:], "kept")
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all their columns, that the rules keep."""
+    return quality_rules(docs, carry=docs.columns).where("kept").select("own.*")

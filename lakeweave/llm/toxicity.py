@@ -229,6 +229,22 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
     return spread(rows).mapInArrow(score, "doc_id long, score double, predicted int")
 
 
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, all their columns, whose score is below 0.5."""
+    keep = np.flatnonzero(model.weights)
+    values, intercept = model.weights[keep], model.intercept
+
+    def choose(batches):
+        weights = np.zeros(1 << BITS, np.float32)
+        weights[keep] = values
+        own = Model(weights, intercept)
+        for batch in batches:
+            scores = [own.scores(part) for _, part in byte_slices(batch.column("text"), 2 << 20)]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0), *scores]) < 0.5))
+
+    return spread(docs).mapInArrow(choose, docs.schema)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5, per_class: int = PER_CLASS) -> DataFrame:
     """Scores of all docs; labels whose id falls into fold 0 are held out."""
     model = fit(spark, docs, labels, crc_bucket(F.col("doc_id"), folds) != 0, per_class)
