@@ -31,7 +31,7 @@ from lakeweave.llm.common import byte_slices, bytes_of, crc_bucket, spread, writ
 ORDERS = (3, 4, 5, 6, 7)
 BITS = 18
 #: Most labelled rows of each class that the model is fitted on.
-PER_CLASS = 6000
+PER_CLASS = 2500
 U = np.uint64
 
 
@@ -130,7 +130,7 @@ def minimise(gradient, x: np.ndarray, rounds: int = 200, memory: int = 8, close:
     return x
 
 
-def ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, least_z: float = 4.5) -> np.ndarray:
+def ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, least_z: float = 5.5) -> np.ndarray:
     """Log-count ratios of the buckets whose shares differ by least_z standard errors; 0 for the others."""
     p, q, both = toxic / n_toxic, clean / n_clean, (toxic + clean) / (n_toxic + n_clean)
     spread_ = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_toxic + 1 / n_clean))
@@ -141,15 +141,15 @@ def ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, lea
 def fit_weights(rows: np.ndarray, cols: np.ndarray, labels: np.ndarray, r: np.ndarray, l2: float = 1.0) -> tuple[np.ndarray, float]:
     """Logistic regression on features r of (row, bucket) pairs sorted by row: weights times r, and the intercept."""
     chosen = np.flatnonzero(r)
-    place = np.zeros(len(r), np.int64)
+    place = np.zeros(len(r), np.int32)
     place[chosen] = np.arange(len(chosen))
-    col, x, y = place[cols], r[cols], labels.astype(np.float64)
+    col, x, y = place[cols], r[cols].astype(np.float32), labels.astype(np.float64)
 
     def gradient(w):
-        margin = np.bincount(rows, w[col] * x, minlength=len(y)) + w[-1]
+        margin = np.bincount(rows, w.astype(np.float32)[col] * x, minlength=len(y)) + w[-1]
         value = np.logaddexp(0, margin).sum() - y @ margin + l2 / 2 * (w[:-1] @ w[:-1])
         error = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y
-        return value, np.append(np.bincount(col, error[rows] * x, minlength=len(chosen)) + l2 * w[:-1], error.sum())
+        return value, np.append(np.bincount(col, error.astype(np.float32)[rows] * x, minlength=len(chosen)) + l2 * w[:-1], error.sum())
 
     w = minimise(gradient, np.zeros(len(chosen) + 1))
     weights = np.zeros(len(r), np.float32)
@@ -188,7 +188,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
         yield pa.RecordBatch.from_pydict({"counts": [counts.tobytes()], "n": [n.tobytes()]})
 
     counts, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for row in lessons.mapInArrow(count, "counts binary, n binary").toLocalIterator():
+    for row in lessons.mapInArrow(count, "counts binary, n binary").collect():
         counts += np.frombuffer(row.counts, np.int32).reshape(2, -1)
         n += np.frombuffer(row.n, np.int64)
     if not n.all():
@@ -205,8 +205,10 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
 
     known_rows = lessons.mapInArrow(describe, "toxic int, cols binary").collect()
     cols = [np.frombuffer(x.cols, np.int32) for x in known_rows]
-    rows = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
-    weights, intercept = fit_weights(rows, np.concatenate(cols), np.array([x.toxic for x in known_rows]), r)
+    rows = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols])
+    taught = np.array([x.toxic for x in known_rows])
+    del known_rows
+    weights, intercept = fit_weights(rows, np.concatenate(cols), taught, r)
     # The sample may hold another share of toxic rows than the labels do.
     return Model(weights, intercept + float(np.log(shares[1] / shares[0]) - np.log(n[1] / n[0])))
 
