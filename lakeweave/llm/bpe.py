@@ -52,8 +52,11 @@ class Merges:
         made = {a + b for a, b in pairs}
         for table in {id(self.mid): self.mid, id(self.end): self.end}.values():
             at_end = table is self.end
-            for t in [t for t in table if len(t) > 1 and t + (suffix if at_end else "") not in made]:
-                del table[t]  # no merge makes it
+            for t in [t for t in table if len(t) > 1]:
+                whole = t + (suffix if at_end else "")
+                # Neither a merge that makes it nor one that is reached from its own symbols: it never comes out.
+                if whole not in made or self.merge(self.symbols(t, at_end)) != [whole]:
+                    del table[t]
         self.longest = max(map(len, [*self.mid, *self.end]))
         self.lookahead = self._lookahead(pairs)
         self._fits: dict[int, bool] = {}
