@@ -323,7 +323,7 @@ def row_grade(attributes: Column) -> Column:
 
     filled = F.filter(F.map_entries(attributes), lambda e: e["value"].isNotNull() & (strip(e["value"]) != ""))
     total = F.aggregate(filled, F.lit(0.0), lambda a, e: a + score(e))
-    return F.coalesce(F.least(F.lit(1.0), F.try_divide(total, F.size(filled))), F.lit(0.0))
+    return F.least(F.lit(1.0), F.coalesce(F.try_divide(total, F.size(filled)), F.lit(0.0)))
 
 
 def term_score(text: Column, terms, anti_terms=(), penalty: int = 2) -> Column:

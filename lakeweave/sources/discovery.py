@@ -131,7 +131,7 @@ def crawl(web: DataFrame, seeds: list[str], policy: CrawlPolicy) -> tuple[DataFr
 
 def mined_sources(texts: DataFrame) -> DataFrame:
     """URLs and bare domains in texts (text), sorted and distinct, without denied domains."""
-    whole = texts.select(F.explode(F.regexp_extract_all("text", F.lit(URL_IN_TEXT), F.lit(0))).alias("raw")).select(F.regexp_replace(F.regexp_replace("raw", "[.,;]+$", ""), r"[?#].*$|/+$", "").alias("url"))
+    whole = texts.select(F.explode(F.regexp_extract_all("text", F.lit(URL_IN_TEXT), F.lit(0))).alias("raw")).select(F.regexp_replace(F.regexp_replace(F.regexp_replace("raw", "[.,;]+$", ""), "[?#].*$", ""), "/+$", "").alias("url"))
     bare = texts.select(F.explode(F.regexp_extract_all("text", F.lit(DOMAIN_IN_TEXT), F.lit(1))).alias("d")).select(F.lower("d").alias("d")).where(~F.col("d").isin(*DENIED)).select(F.concat(F.lit("https://"), "d").alias("url"))
     return whole.where(U.authority("url") != "").union(bare).distinct().orderBy("url")
 
