@@ -33,6 +33,8 @@ BITS = 18
 #: Most labelled rows of each class that the model is fitted on.
 PER_CLASS = 2500
 U = np.uint64
+#: Bytes of text that are described or scored at a time; a longer text is alone.
+LESSON_BYTES, SCORE_BYTES = 1 << 18, 1 << 20
 
 
 def _letters() -> np.ndarray:
@@ -179,7 +181,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
         every[0] = False
         for batch in batches:
             toxic = batch.column("toxic").to_numpy()
-            for at, part in byte_slices(batch.column("text"), 2 << 20):
+            for at, part in byte_slices(batch.column("text"), LESSON_BYTES):
                 rows, cols = features(part, every)
                 here = toxic[at : at + len(part)]
                 for k in (0, 1):
@@ -198,7 +200,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
     def describe(batches):
         for batch in batches:
             toxic, at_most = batch.column("toxic"), r != 0
-            for at, part in byte_slices(batch.column("text"), 2 << 20):
+            for at, part in byte_slices(batch.column("text"), LESSON_BYTES):
                 rows, cols = features(part, at_most)
                 cut = np.searchsorted(rows, np.arange(len(part) + 1))
                 yield pa.RecordBatch.from_arrays([toxic.slice(at, len(part)), pa.array([cols[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["toxic", "cols"])
@@ -223,7 +225,7 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
         weights[keep] = values
         own = Model(weights, intercept)
         for batch in batches:
-            for at, part in byte_slices(batch.column("text"), 2 << 20):
+            for at, part in byte_slices(batch.column("text"), SCORE_BYTES):
                 found = own.scores(part)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), pa.array(found), pa.array((found >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
@@ -241,7 +243,7 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
         weights[keep] = values
         own = Model(weights, intercept)
         for batch in batches:
-            scores = [own.scores(part) for _, part in byte_slices(batch.column("text"), 2 << 20)]
+            scores = [own.scores(part) for _, part in byte_slices(batch.column("text"), SCORE_BYTES)]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0), *scores]) < 0.5))
 
     return spread(docs).mapInArrow(choose, docs.schema)
