@@ -15,7 +15,7 @@ from lakeweave.operators import quality as Q
 from lakeweave.operators import search as J
 from lakeweave.operators import state as S
 from lakeweave.sources import discovery as D
-from lakeweave.sources import files, markup
+from lakeweave.sources import files, markup, rendered
 from lakeweave.streaming import queue
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,6 +252,11 @@ def x3_web_blocks(spark, sf_dir):
     return markup.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html", web=True)
 
 
+@query()
+def x5_rendered_blocks(spark, sf_dir):
+    return rendered.rendered_pages(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 @query(rf"""WITH {_LINES}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS r FROM chunks)
 SELECT doc_id, CAST(r // 50 + 1 AS INT) AS unit, string_agg(text, chr(10) ORDER BY idx) AS text, count(*) AS n_lines FROM n GROUP BY doc_id, r // 50""")
 def x18_line_units(spark, sf_dir):

@@ -96,6 +96,15 @@ def test_html(spark):
     assert markup.neutral_blocks(deep) == ["deep"]
 
 
+def test_rendered_pages(spark):
+    from lakeweave.sources.rendered import rendered_pages
+
+    text = "Каталог\nA long descriptive title of the product, over forty characters\nSection: 2.5\nVoltage | 660\n\n123 ₽\nПохожие товары и услуги\nshort item\nWeight: 5 kg\nКонтакты\nlost"
+    frame = spark.createDataFrame([(1, text), (2, None)], "k int, t string")
+    got = [r.text for r in rendered_pages(frame, "k", "t").orderBy("pos").collect()]
+    assert got == ["A long descriptive title of the product, over forty characters", "Section | 2.5\nVoltage | 660", "Weight | 5 kg"]
+
+
 def archive(parts):
     raw = io.BytesIO()
     with zipfile.ZipFile(raw, "w") as z:
