@@ -173,7 +173,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # The sample has at most 2 * per_class short rows, so it may be broadcast at any input size.
     lessons = written(spark, texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"), "lessons")
-    lessons = lessons.repartition(min(16, spark.sparkContext.defaultParallelism), F.xxhash64("text"))
+    lessons = lessons.repartition(min(16, spark.sparkContext.defaultParallelism))  # each part sends 2 MB of counts
 
     def count(batches):
         counts, n = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64)
