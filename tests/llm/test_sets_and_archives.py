@@ -5,9 +5,11 @@ import hashlib
 import io
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from lakeweave.llm.near_dups import keep_one, near_duplicates
+from lakeweave.llm.near_dups import BANDS, ROWS, _compare_cells, keep_one, near_duplicates
 from lakeweave.llm.topk import top_k
 from lakeweave.llm.warc import WarcError, read_records, record_bytes, warc_round_trip
 from pyspark.sql import functions as F
@@ -64,6 +66,18 @@ def test_near_duplicates_with_graded_edits(spark):
     assert kept.columns == ["doc_id", "text"] and {r.doc_id for r in kept.collect()} == {d for d, _, _, k in brute_components(rows) if k}
 
 
+def test_late_pass_lists_pairs_despite_a_chance_match_of_bytes():
+    """Bytes agree in bands 0 and 5, but the two share the bucket of band 5 (and 7) only."""
+    a = np.arange(BANDS * ROWS, dtype=np.uint8)
+    tags = np.arange(BANDS, dtype=np.int32)
+    other = np.where(np.isin(tags, (5, 7)), tags, tags + 1000).astype(np.int32)
+    for turn, listed in ((5, [([b"a"], [[b"b"]])]), (7, [])):
+        cell = pa.table({"cell": pa.array([1, 1, 1], pa.int64()), "side": [0, 1, 1], "turn": [turn] * 3, "key": [b"a", b"a", b"b"], "root": [b"a", b"a", b"b"],
+                         "sig": [a.tobytes()] * 3, "tags": pa.array([tags, tags, other], pa.list_(pa.int32())), "block": pa.array([0, 0, 0], pa.int32())})
+        found = [(b["a"].to_pylist(), b["others"].to_pylist()) for batch in cell.to_batches() for b in _compare_cells([batch], 62)]
+        assert found == listed
+
+
 def test_keep_one_drops_repeated_rows(spark, docs):
     ids = [r.doc_id for r in keep_one(spark, docs).collect()]
     assert ids.count(5) == 1 and ids.count(3) == 1 and 6 not in ids and 7 not in ids
