@@ -33,8 +33,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    return keep_one(spark, docs)
+    """One document of each group of near-duplicates (five words, similarity 0.80), the one with the smallest doc_id."""
+    return keep_one(spark, docs, low=80)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

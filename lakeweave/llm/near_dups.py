@@ -239,12 +239,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, low: int = 85, high: i
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs, all their columns, less all but the smallest doc_id of each component.
+def keep_one(spark: SparkSession, docs: DataFrame, low: int = 85) -> DataFrame:
+    """The rows of docs, all their columns, less all but the smallest doc_id of each component; texts are linked from low hundredths on.
 
     Rows that repeat a kept row's doc_id and text go as well; rows with a null doc_id stay.
     """
-    found = written(spark, near_duplicates(spark, docs), "near-duplicates")
+    found = written(spark, near_duplicates(spark, docs, low), "near-duplicates")
     gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")

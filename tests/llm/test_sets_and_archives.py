@@ -83,6 +83,19 @@ def test_keep_one_drops_repeated_rows(spark, docs):
     assert ids.count(5) == 1 and ids.count(3) == 1 and 6 not in ids and 7 not in ids
 
 
+def test_pipeline_removes_near_copies_from_080_on(spark):
+    """Sets of 100 shingles of which the last few change: 0.80 to below 0.85 goes as well, less stays."""
+    pipeline, rows = pytest.importorskip("corpus_pipeline"), []
+    for i, changed in enumerate((8, 9, 10, 11, 12, 14)):
+        words = [f"g{i}w{k}" for k in range(104)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[: 104 - changed], *(f"new{k}" for k in range(changed))]))]
+    sets = dict((d, shingles(t)) for d, t in rows)
+    gone = {d for d in sets if d % 2 and 100 * len(sets[d] & sets[d - 1]) >= 80 * len(sets[d] | sets[d - 1])}
+    assert gone == {1, 3, 5, 7}
+    left = pipeline.distinct(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in left.collect()} == set(sets) - gone
+
+
 def test_top_k(spark):
     rnd = random.Random(4)
     rows = [(i, [rnd.randrange(-300, 300) / 256 if rnd.random() < 0.7 else 0.0 for _ in range(8)]) for i in range(300)]
