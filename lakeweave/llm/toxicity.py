@@ -3,13 +3,14 @@
 Characters are lower-cased and everything but letters and digits becomes a space, so that n-grams see
 where words begin and end. n-grams of ``ORDERS`` characters are hashed to ``1 << BITS`` buckets; a
 document's features are the buckets that it has. Ratio r = log of (toxic documents with the bucket,
-smoothed, by all of theirs) over the same of clean documents. Buckets whose counts differ by more than
-chance are kept, scaled by r, and weighted by an L2-regularised logistic regression; its intercept is
-moved by the class shares of all labelled rows.
+smoothed, by all of theirs) over the same of clean documents. Buckets whose shares differ by ``LEAST_Z``
+standard errors or more are kept, scaled by r, and weighted by an L2-regularised logistic regression, which
+shrinks what differs by chance; its intercept is moved by the class shares of all labelled rows.
 
 Bound: the model is fitted on at most ``per_class`` labelled rows of each class, those with the smallest
-hash of their id, whatever the size of the tables (a documented sample); whole texts are used. Scores are
-computed for every document in one pass; the weights are the only thing that is sent to workers.
+hash of their id among those whose document exists, whatever the size of the tables (a documented sample);
+whole texts are used. Counts are summed in executors; the driver takes the lessons' kept features a part at
+a time and walks over them in slices, so that no feature has to go for its memory. Scores are computed for every document in one pass; the weights are the only thing that is sent to workers.
 
 Cases: a null or empty text gets the intercept's score. Several labels of a doc_id count as the largest.
 Labels that are null, or whose text is missing, teach nothing. Without labelled rows of both classes the
@@ -32,7 +33,11 @@ ORDERS = (3, 4, 5, 6, 7)
 BITS = 18
 #: Most labelled rows of each class that the model is fitted on.
 PER_CLASS = 2500
+#: Standard errors by which a bucket's shares have to differ: nine toxic documents of 2500 and no clean one suffice.
+LEAST_Z = 3.0
 U = np.uint64
+#: Buckets whose counts are summed together, and (row, bucket) pairs that a gradient looks at together.
+PART, PAIRS = 1 << 12, 1 << 19
 #: Bytes of text that are described or scored at a time; a longer text is alone.
 LESSON_BYTES, SCORE_BYTES = 1 << 18, 1 << 20
 
@@ -132,7 +137,7 @@ def minimise(gradient, x: np.ndarray, rounds: int = 200, memory: int = 8, close:
     return x
 
 
-def ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, least_z: float = 5.5) -> np.ndarray:
+def ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, least_z: float = LEAST_Z) -> np.ndarray:
     """Log-count ratios of the buckets whose shares differ by least_z standard errors; 0 for the others."""
     p, q, both = toxic / n_toxic, clean / n_clean, (toxic + clean) / (n_toxic + n_clean)
     spread_ = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_toxic + 1 / n_clean))
@@ -145,13 +150,18 @@ def fit_weights(rows: np.ndarray, cols: np.ndarray, labels: np.ndarray, r: np.nd
     chosen = np.flatnonzero(r)
     place = np.zeros(len(r), np.int32)
     place[chosen] = np.arange(len(chosen))
-    col, x, y = place[cols], r[cols].astype(np.float32), labels.astype(np.float64)
+    col, scale, y = place[cols], r[chosen], labels.astype(np.float64)
+    slices = [slice(at, at + PAIRS) for at in range(0, len(col), PAIRS)]
 
     def gradient(w):
-        margin = np.bincount(rows, w.astype(np.float32)[col] * x, minlength=len(y)) + w[-1]
+        margin, scaled, slope = np.full(len(y), w[-1]), w[:-1] * scale, np.zeros(len(chosen))
+        for s in slices:
+            margin += np.bincount(rows[s], scaled[col[s]], minlength=len(y))
         value = np.logaddexp(0, margin).sum() - y @ margin + l2 / 2 * (w[:-1] @ w[:-1])
         error = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y
-        return value, np.append(np.bincount(col, error.astype(np.float32)[rows] * x, minlength=len(chosen)) + l2 * w[:-1], error.sum())
+        for s in slices:
+            slope += np.bincount(col[s], error[rows[s]], minlength=len(chosen))
+        return value, np.append(slope * scale + l2 * w[:-1], error.sum())
 
     w = minimise(gradient, np.zeros(len(chosen) + 1))
     weights = np.zeros(len(r), np.float32)
@@ -168,15 +178,22 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
     if not shares.get(0) or not shares.get(1):
         share = shares.get(1, 0) / max(1, sum(shares.values()))
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))) if 0 < share < 1 else (500.0 if share else -500.0))
-    hashed = known.withColumn("h", F.xxhash64("doc_id"))
-    sample = hashed.where("toxic = 1").orderBy("h", "doc_id").limit(per_class).unionByName(hashed.where("toxic = 0").orderBy("h", "doc_id").limit(per_class)).select("doc_id", "toxic")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    there = written(spark, known.join(texts.select("doc_id"), "doc_id", "left_semi"), "labelled-documents")
+    hashed = there.withColumn("h", F.xxhash64("doc_id"))
+    sample = hashed.where("toxic = 1").orderBy("h", "doc_id").limit(per_class).unionByName(hashed.where("toxic = 0").orderBy("h", "doc_id").limit(per_class)).select("doc_id", "toxic")
     # The sample has at most 2 * per_class short rows, so it may be broadcast at any input size.
     lessons = written(spark, texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"), "lessons")
-    lessons = lessons.repartition(min(16, spark.sparkContext.defaultParallelism))  # each part sends 2 MB of counts
+    lessons = lessons.repartition(min(16, spark.sparkContext.defaultParallelism))  # each part shuffles 2 MB of counts
+
+    n = np.zeros(2, np.int64)
+    for row in lessons.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect():
+        n[row.toxic] = row.n
+    if not n.all():
+        return Model(np.zeros(1 << BITS, np.float32), float(np.log(shares[1] / shares[0])))
 
     def count(batches):
-        counts, n = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64)
+        counts = np.zeros((2, 1 << BITS), np.int32)
         every = np.ones(1 << BITS, bool)
         every[0] = False
         for batch in batches:
@@ -186,16 +203,16 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
                 here = toxic[at : at + len(part)]
                 for k in (0, 1):
                     counts[k] += np.bincount(cols[here[rows] == k], minlength=1 << BITS).astype(np.int32)
-                    n[k] += int((here == k).sum())
-        yield pa.RecordBatch.from_pydict({"counts": [counts.tobytes()], "n": [n.tobytes()]})
+        for at in range(0, 1 << BITS, PART):
+            yield pa.RecordBatch.from_pydict({"part": pa.array([at], pa.int32()), "counts": [counts[:, at : at + PART].tobytes()]})
 
-    counts, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for row in lessons.mapInArrow(count, "counts binary, n binary").collect():
-        counts += np.frombuffer(row.counts, np.int32).reshape(2, -1)
-        n += np.frombuffer(row.n, np.int64)
-    if not n.all():
-        return Model(np.zeros(1 << BITS, np.float32), float(np.log(shares[1] / shares[0])))
-    r = ratios(counts[1], counts[0], int(n[1]), int(n[0]))
+    def compare(table: pa.Table) -> pa.Table:
+        counts = sum(np.frombuffer(c.as_buffer(), np.int32).reshape(2, -1).astype(np.int64) for c in table["counts"])
+        return pa.table({"part": table["part"].slice(0, 1), "r": [ratios(counts[1], counts[0], int(n[1]), int(n[0])).tobytes()]})
+
+    r = np.zeros(1 << BITS)
+    for row in lessons.mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(compare, "part int, r binary").collect():
+        r[row.part : row.part + PART] = np.frombuffer(row.r)
 
     def describe(batches):
         for batch in batches:
@@ -205,12 +222,13 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
                 cut = np.searchsorted(rows, np.arange(len(part) + 1))
                 yield pa.RecordBatch.from_arrays([toxic.slice(at, len(part)), pa.array([cols[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["toxic", "cols"])
 
-    known_rows = lessons.mapInArrow(describe, "toxic int, cols binary").collect()
-    cols = [np.frombuffer(x.cols, np.int32) for x in known_rows]
+    cols, taught = [], []
+    for row in written(spark, lessons.mapInArrow(describe, "toxic int, cols binary"), "described").toLocalIterator():
+        cols.append(np.frombuffer(row.cols, np.int32))
+        taught.append(row.toxic)
     rows = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols])
-    taught = np.array([x.toxic for x in known_rows])
-    del known_rows
-    weights, intercept = fit_weights(rows, np.concatenate(cols), taught, r)
+    cols = np.concatenate(cols)
+    weights, intercept = fit_weights(rows, cols, np.array(taught), r)
     # The sample may hold another share of toxic rows than the labels do.
     return Model(weights, intercept + float(np.log(shares[1] / shares[0]) - np.log(n[1] / n[0])))
 

@@ -16,7 +16,7 @@ from lakeweave.llm.elias_fano import EliasFano
 from lakeweave.llm.licenses import license_scan
 from lakeweave.llm.ngram_lm import DISCOUNT, STEPS, lm_scores
 from lakeweave.llm.quality_rules import SYMBOLS, keep_good, quality_rules
-from lakeweave.llm.toxicity import toxicity
+from lakeweave.llm.toxicity import ratios, toxicity
 from tests.llm.conftest import nasty, prose
 
 
@@ -123,6 +123,24 @@ def test_toxicity(spark, docs, no_docs):
     assert toxicity(spark, no_docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
 
 
+def test_toxicity_learns_rare_words_from_documents_that_exist(spark):
+    """Eight words, each in an eighth of the toxic documents; three labels of four name no document."""
+    import random
+
+    rnd = random.Random(6)
+    words = "rotten vilest wretched putrid hideous loathsome squalid ghastly".split()
+    rows = [(i, " ".join([*prose(rnd, 40).split(), *([words[i // 2 % 8]] if i % 2 else [])])) for i in range(480)]
+    labels = [(i, 1, i % 2) for i in range(1920)]
+    found = toxicity(spark, spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), per_class=150).collect()
+    held = [r for r in found if r.held_out]
+    assert sum(r.predicted == r.doc_id % 2 for r in held) >= 0.95 * len(held)
+
+
+def test_ratios_keep_rare_buckets():
+    toxic, clean = np.array([9, 12, 4, 30, 1250]), np.array([0, 0, 0, 5, 1250])
+    assert (ratios(toxic, clean, 2500, 2500) != 0).tolist() == [True, True, False, True, False]
+
+
 def test_license_scan(spark, docs, no_docs):
     extra = [(100, "x " * 50 + "permission is hereby granted free of charge to any person obtaining one copy of this software and associated documentation files y"), (101, "MITK license mit-license"), (102, "licensed under the stars and the moon")]
     rows = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
