@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm.common import open_fs, scratch, spread
+from lakeweave.llm.common import open_fs, scratch, spread, written
 
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 STEP = 1 << 16
@@ -171,19 +171,33 @@ def read_records(source) -> Iterator[dict]:
         yield {"head": head, "http": _headers(bytes(http))[1], "payload_bytes": size, "payload_digest": name(payload)[5:], "type": kind}
 
 
-def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Pages (page_id, url, html) with is_response and refers_to."""
+def plan_records(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """Pages (page_id, url, html) with is_response and refers_to.
+
+    A payload's response is its row with the smallest (page_id, url). Only rows that agree in page_id, url and payload
+    can tie for it; such rows are folded to one with their number, of which one becomes the response. Nothing here
+    depends on how rows are dealt out.
+    """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), (F.col("url") if "url" in pages.columns else F.lit(None)).cast("string").alias("url"), html.alias("html"))
-    rows = spread(rows).withColumn("sha", F.sha2(F.encode("html", "UTF-8"), 256)).withColumn("tag", F.monotonically_increasing_id())
-    order = F.struct(F.coalesce("page_id", F.lit(2**63 - 1)).alias("id"), F.col("tag"))
-    # Groups are pre-aggregated to one row. Only groups with copies are joined back: broadcast if the
-    # planner finds them small, else a sort-merge join whose hot keys adaptive execution splits.
-    firsts = rows.groupBy("sha").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("sha", "first")
+    url = F.coalesce((F.col("url") if "url" in pages.columns else F.lit(None)).cast("string"), F.lit(""))
+    rows = spread(pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), html.alias("html")))
+    rows = rows.withColumn("sha", F.sha2(F.encode("html", "UTF-8"), 256)).withColumn("id", F.coalesce("page_id", F.lit(2**63 - 1)))
+    # Pre-aggregated twice, so that a payload or a row that a third of the table repeats is one row a task. Only groups
+    # with copies are joined back: broadcast if the planner finds them small, else a join whose hot keys are split.
+    each = rows.groupBy("sha", "id", "url").agg(F.count(F.lit(1)).alias("n"))
+    firsts = each.groupBy("sha").agg(F.min(F.struct("id", "url", "n")).alias("first"), F.sum("n").alias("copies")).where("copies > 1")
+    firsts = written(spark, firsts.select("sha", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"), F.col("first.n").alias("ties")), "warc-groups")
     joined = rows.join(firsts, "sha", "left")
-    large = F.octet_length("html") >= F.lit(min_bytes)
-    first_id = F.col("first.id")
-    return joined.select("page_id", "url", "html", (F.col("first").isNull() | ~large | (F.col("tag") == F.col("first.tag"))).alias("is_response"), F.when(first_id < 2**63 - 1, first_id).alias("refers_to"))
+    own = (F.col("id") == F.col("first_id")) & (F.col("url") == F.col("first_url"))
+    refers = F.when(F.col("first_id") < 2**63 - 1, F.col("first_id")).alias("refers_to")
+    alone = F.col("first_id").isNull() | (F.octet_length("html") < F.lit(min_bytes))
+    if firsts.where("ties > 1").isEmpty():
+        return joined.select("page_id", "url", "html", (alone | own).alias("is_response"), refers)
+    tied = ~alone & own & (F.col("ties") > 1)
+    settled = joined.where(~F.coalesce(tied, F.lit(False))).select("page_id", "url", "html", (alone | own).alias("is_response"), refers)
+    folded = joined.where(tied).groupBy("sha", "page_id", "url", "first_id").agg(F.first("html").alias("html"), F.count(F.lit(1)).alias("n"))
+    copies = folded.select("page_id", "url", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"), "html", refers)
+    return settled.unionByName(copies.select("page_id", "url", "html", (F.col("copy") == 1).alias("is_response"), "refers_to"))
 
 
 def write_archives(spark: SparkSession, records: DataFrame, folder: str) -> DataFrame:
@@ -236,5 +250,5 @@ def read_archives(spark: SparkSession, folder: str, files: list[str]) -> DataFra
 def warc_round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0, folder: str | None = None) -> DataFrame:
     """Write pages (page_id, url, html) as archives in ``folder`` and return what reading them back gives."""
     folder = folder or scratch(spark, "warc")
-    files = [r.file for r in write_archives(spark, plan_records(pages, min_bytes), folder).collect()]
+    files = [r.file for r in write_archives(spark, plan_records(spark, pages, min_bytes), folder).collect()]
     return read_archives(spark, folder, sorted(files))
