@@ -5,8 +5,9 @@ there and fits the last token of the prefix before it, where two tokens fit if m
 gives back just the two. So one table entry for each symbol read is enough, and only the last
 ``longest`` entries can be reached by tokens that are still to come: once the paths back from all of these
 run through one place, everything before it is stable and is emitted, and the table is cut. How far back
-that place can lie follows from the merge list (``lookahead``), so memory is constant, whatever the
-piece's length.
+that place can lie follows from the merge list (``lookahead``), which bounds the table, whatever the
+piece's length. Every piece takes this one path. Texts go through in windows of bounded size with running
+digests, and pieces that are met again come from caches of bounded size.
 
 Decoding. ids are turned into the vocabulary's text a block at a time. With a byte-level decoder, the bytes
 run through an incremental UTF-8 machine that keeps an unfinished character for the next block and
@@ -31,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweave.llm.common import offsets_of, spread
+from lakeweave.llm.common import WS_TABLE, byte_slices, bytes_of, offsets_of, spread
 from lakeweave.llm.tokens import BYTE_PATTERN, MAX_KEY, WORD_PATTERN, ChunkEncoder, byte_letters, lower_all
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Pieces of up to so many symbols fit the table as a whole.
-WHOLE = 256
+#: Symbols that the transducer is fed at a time, and bytes of text that are in work at a time.
+FEED, WINDOW = 1024, 4 << 20
 
 
 class Merges:
@@ -120,70 +121,64 @@ class Merges:
         return found
 
     def encode(self, piece: str) -> list[int]:
-        """Tokens of a piece: the transducer, run over one feed."""
-        n = len(piece)
-        if n > WHOLE:
-            stream = Stream(self)
-            out = []
-            for at in range(0, n, WHOLE):
-                out += stream.feed(piece[at : at + WHOLE])
-            return out + stream.finish()
-        whole = self.end.get(piece)
-        if whole is not None:
-            return [whole]
-        mid, known, fits, longest = self.mid, self._fits, self.fits, self.longest
-        last, back = [0] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            table = mid if i < n else self.end
-            for a in range(max(0, i - longest), i):
-                t = table.get(piece[a:i])
-                if t is not None:
-                    if a:
-                        p = last[a]
-                        ok = known.get(p << 32 | t)
-                        if not (fits(p, t) if ok is None else ok):
-                            continue
-                    last[i], back[i] = t, a
-                    break
-            else:
-                raise ValueError(f"no token for {piece[i - 1]!r}")
-        out = []
-        while n:
-            out.append(last[n])
-            n = back[n]
-        return out[::-1]
+        """Tokens of a piece: the transducer, fed in parts of bounded size."""
+        stream, out = Stream(self), []
+        for at in range(0, len(piece), FEED):
+            out += stream.feed(piece[at : at + FEED])
+        return out + stream.finish()
 
 
 class Stream:
-    """The transducer over a piece that comes in parts; holds the last symbols' table only."""
+    """The transducer over a piece that comes in parts; holds the last symbols' table only.
+
+    Entry i (of ``last`` and ``back``) is for the first i symbols of ``text``: the token that ends there and its
+    beginning. Symbols wait in ``text`` until the table's bound is reached or the piece ends; then they are stepped
+    through, and what is stable is emitted.
+    """
 
     def __init__(self, merges: Merges):
         self.m, self.text, self.last, self.back, self.most = merges, "", [0], [0], 0
+        self.bound, self.begun = 2 * (merges.lookahead + merges.longest), False
 
     def feed(self, part: str) -> list[int]:
         """Read symbols (the last one seen is held back: it may be the piece's end); emit stable tokens."""
+        self.text += part
         out: list[int] = []
-        for c in part:
-            self.text += c
-            if len(self.text) > 1:
-                self._step(len(self.text) - 1, self.m.mid)
-            if len(self.last) > 2 * (self.m.lookahead + self.m.longest):
-                out += self._emit()
+        while len(self.text) > self.bound:
+            self._steps(self.bound, self.m.mid)
+            stable = self._emit()
+            if not stable:
+                self.bound += self.m.longest
+            out += stable
         return out
 
     def finish(self) -> list[int]:
-        if not self.text:
+        n = len(self.text)
+        if not n:
             return []
-        self._step(len(self.text), self.m.end)
-        return self._path(len(self.text))
-
-    def _step(self, i: int, table: dict[str, int]) -> None:
-        for a in range(max(0, i - self.m.longest), i):
-            t = table.get(self.text[a:i])
-            if t is not None and (not self.last[a] and not a and not self.back[0] or self.m.fits(self.last[a], t)):
-                self.last.append(t), self.back.append(a)
-                return
-        raise ValueError("no token")
+        # The last entry prefers the longest token: where that is the whole text, no other entry matters.
+        if not self.begun and (whole := self.m.end.get(self.text)) is not None:
+            return [whole]
+        self._steps(n - 1, self.m.mid)
+        self._steps(n, self.m.end)
+        return self._path(n)
+
+    def _steps(self, stop: int, table: dict[str, int]) -> None:
+        """Fill the table up to entry ``stop``."""
+        text, last, back, known, fits, longest, get = self.text, self.last, self.back, self.m._fits, self.m.fits, self.m.longest, table.get
+        for i in range(len(last), stop + 1):
+            for a in range(max(0, i - longest), i):
+                t = get(text[a:i])
+                if t is not None:
+                    if a or self.begun:
+                        p = last[a]
+                        ok = known.get(p << 32 | t)
+                        if not (fits(p, t) if ok is None else ok):
+                            continue
+                    last.append(t), back.append(a)
+                    break
+            else:
+                raise ValueError(f"no token for {text[i - 1]!r}")
 
     def _path(self, i: int) -> list[int]:
         out = []
@@ -208,7 +203,7 @@ class Stream:
         self.text = self.text[at:]
         self.last = self.last[at:]
         self.back = [max(0, b - at) for b in self.back[at:]]
-        self.back[0] = 1  # place 0 now has a token before it
+        self.begun = True  # entry 0 now is the last token emitted
         return out
 
 
@@ -247,7 +242,7 @@ class TransducerEncoder(ChunkEncoder):
                 out.append(array("I", [self.added[part]]).tobytes())
             else:
                 text = lower_all(unicodedata.normalize("NFC", part)) if self.words else part
-                out += map(self._piece, self.pattern.findall(text))
+                out += (self._piece(m.group()) for m in self.pattern.finditer(text))
         return np.frombuffer(b"".join(out), np.uint32)
 
 
@@ -289,23 +284,47 @@ def transducer(path: str) -> tuple[TransducerEncoder, TokenTable]:
     return TransducerEncoder(path), TokenTable(path)
 
 
+def windows(encoder: ChunkEncoder, column: pa.Array, most: int = WINDOW):
+    """(offsets, ids, whether texts end here) for slices of the column's texts.
+
+    Short texts share a slice. A longer text comes in windows that end where a run of white space begins between ASCII
+    characters, where no piece can reach across; only a run without such a place makes a window longer.
+    """
+    for _, part in byte_slices(column, most):
+        data, _ = bytes_of(part)
+        if len(data) <= most:
+            yield *encoder.encode(part), True
+            continue
+        ascii_, space, at = data < 128, WS_TABLE[data], 0
+        cuts = np.flatnonzero(space[1:] & ~space[:-1] & ascii_[:-1]) + 1
+        while at < len(data):
+            next_ = np.searchsorted(cuts, at + most, "right") - 1
+            stop = int(cuts[next_]) if next_ >= 0 and cuts[next_] > at else int(cuts[next_ + 1]) if next_ + 1 < len(cuts) else len(data)
+            stop = len(data) if len(data) - at <= most else stop
+            yield *encoder.encode(pa.array([data[at:stop].tobytes().decode()], pa.large_string())), stop == len(data)
+            at = stop
+
+
 def encode_decode(docs: DataFrame, tokenizer: str, block: int = 1 << 16) -> DataFrame:
     """Encode whole texts of docs (doc_id, text), decode the ids again, and give both sides' digests."""
 
     def run(batches):
         encoder, table = transducer(tokenizer)
         for batch in batches:
-            for at, ends, ids in encoder.encode_column(batch.column("text")):
-                n = len(ends) - 1
+            of_ids, of_text, sizes = [], [], []
+            ids_seen, text_seen, decoder, size = hashlib.sha256(), hashlib.sha256(), Decoder(table), 0
+            for ends, ids, whole in windows(encoder, batch.column("text")):
                 raw = memoryview(ids.astype("<u4").tobytes())
-                of_ids, of_text = [], []
                 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                    of_ids.append(hashlib.sha256(raw[4 * a : 4 * b]).hexdigest())
-                    decoder, seen = Decoder(table), hashlib.sha256()
+                    ids_seen.update(raw[4 * a : 4 * b])
+                    size += b - a
                     for i in range(a, b, block):
-                        seen.update(decoder.feed(ids[i : min(b, i + block)], i + block >= b))
-                    of_text.append(seen.hexdigest())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, n), pa.array(np.diff(ends)), pa.array(of_ids), pa.array(of_text)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                        text_seen.update(decoder.feed(ids[i : min(b, i + block)]))
+                    if whole:
+                        text_seen.update(decoder.feed(ids[:0], True))
+                        of_ids.append(ids_seen.hexdigest()), of_text.append(text_seen.hexdigest()), sizes.append(size)
+                        ids_seen, text_seen, decoder, size = hashlib.sha256(), hashlib.sha256(), Decoder(table), 0
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return spread(rows).mapInArrow(run, RESULT)

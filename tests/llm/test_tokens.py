@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.conftest import nasty
-from lakeweave.llm.bpe import Decoder, Merges, Stream, TokenTable, TransducerEncoder, encode_decode
+from lakeweave.llm.bpe import Decoder, Merges, Stream, TokenTable, TransducerEncoder, encode_decode, windows
 from lakeweave.llm.packing import best_fit_pack, plan
 from lakeweave.llm.simple8b import decode_words, encode_blocks
 from lakeweave.llm.token_files import token_files
@@ -98,6 +98,26 @@ def test_encode_decode(spark, docs, no_docs, tokenizer):
     assert encode_decode(no_docs, tokenizer(NAMES[0])).count() == 0
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_windows_of_long_texts(tokenizer, name):
+    """Texts cut into small windows get the library's ids, and every piece goes through the transducer."""
+    texts = odd_texts()[1480:]
+    encoder, want, got = TransducerEncoder(tokenizer(name)), library(tokenizer(name)), []
+    held: list[int] = []
+    for off, ids, whole in windows(encoder, pa.array(texts), most=700):
+        for a, b in zip(off[:-1], off[1:], strict=True):
+            held += ids[a:b].tolist()
+            if whole:
+                got.append(held)
+                held = []
+    assert got == [e.ids for e in want.encode_batch(texts, add_special_tokens=False)]
+    stream = Stream(encoder.merges)
+    for _ in range(400):
+        stream.feed("haha" * 64)
+        assert len(stream.text) <= stream.bound == 2 * (encoder.merges.lookahead + encoder.merges.longest)
+    stream.finish()
+
+
 def best_fit_decreasing(lengths, capacity):
     import bisect
 
