@@ -65,12 +65,12 @@ h AS (
 d AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          CASE WHEN n_chars >= 200 AND classes[8] <= 0.5 THEN {nearest("classes", q.class_table())} ELSE 0 END AS far_classes,
-         CASE WHEN n_words >= 60 THEN {nearest("shares", q.word_table())} ELSE 0 END AS far_words
+         CASE WHEN n_words >= 60 AND classes[8] <= 0.5 THEN {nearest("shares", q.word_table())} ELSE 0 END AS far_words
   FROM h)
 SELECT doc_id, n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND far_classes <= 0.35 AND far_words <= 0.62 AS kept
+       NOT base_failed AND far_classes <= 0.35 AND far_words <= 0.30 AS kept
 FROM d
 """
 

@@ -99,6 +99,17 @@ def test_quality_rules(spark, docs, no_docs):
     assert good.columns == docs.columns and good.count() == sum(r.kept for r in got)
 
 
+def test_word_lists_and_gibberish_go_and_other_scripts_stay(spark):
+    import random
+
+    rnd = random.Random(12)
+    letters = lambda: "".join(rnd.choice("abcdefghijklmnoprstuvw") for _ in range(rnd.randint(3, 9)))
+    running = " ".join(rnd.choice(["the", "of", "and", "to", "in", *(letters() for _ in range(20))]) for _ in range(300)) + "."
+    rows = [(1, " | ".join(letters() for _ in range(200))), (2, " ".join(letters() for _ in range(300))), (3, running), (4, " ".join(letters() for _ in range(40))), (5, " ".join("слово" + chr(0x430 + i % 30) + chr(0x430 + i // 30) for i in range(300)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.kept for r in quality_rules(frame).collect()} == {1: False, 2: False, 3: True, 4: True, 5: True}
+
+
 def test_toxicity(spark, docs, no_docs):
     import random
 
