@@ -162,9 +162,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op10_sql() -> str:
-    from lakeweave.llm.licenses import PHRASES, TEMPLATES
+    from lakeweave.llm.license_texts import templates as license_templates
+    from lakeweave.llm.licenses import PHRASES
 
-    templates = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+    templates = ", ".join(f"({i}, '{label}', '{' '.join(words)}')" for i, (label, words) in enumerate(license_templates()))
     phrases = ", ".join(f"('{label}', '{phrase}')" for phrase, label in PHRASES.items())
     return rf"""
 WITH w AS (
@@ -179,19 +180,21 @@ base AS (
 base_of AS (
   SELECT k, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list_distinct(list(label)) AS own FROM base GROUP BY k),
 t AS (SELECT template, label, string_split(words, ' ') AS f FROM (VALUES {templates}) v(template, label, words)),
-tg AS (SELECT template, label, len(f) AS t_words, i AS t_place, f[i:i + 2] AS g FROM t, LATERAL (SELECT unnest(range(1, len(f) - 1)) AS i)),
+tgrams AS (SELECT template, label, len(f) AS t_words, i AS t_place, f[i:i + 2] AS g FROM t, LATERAL (SELECT unnest(range(1, len(f) - 1)) AS i)),
+shared AS (SELECT g, count(DISTINCT label) = 1 AS own FROM tgrams GROUP BY g),
+tg AS (SELECT *, count(*) FILTER (WHERE own) OVER (PARTITION BY template) AS t_own FROM tgrams JOIN shared USING (g)),
 dg AS (SELECT k, i AS place, words[i:i + 2] AS g FROM w, LATERAL (SELECT unnest(range(1, len(words) - 1)) AS i)),
-votes AS (SELECT DISTINCT k, template, label, t_words, place - t_place AS diagonal, t_place FROM dg JOIN tg USING (g)),
+votes AS (SELECT DISTINCT k, template, label, t_words, t_own, own, place - t_place AS diagonal, t_place FROM dg JOIN tg USING (g)),
 lines AS (SELECT DISTINCT k, template, diagonal FROM votes),
 marked AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY k, template ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS new FROM lines),
 spans AS (SELECT k, template, diagonal, sum(new) OVER (PARTITION BY k, template ORDER BY diagonal) AS span FROM marked),
-hits AS (SELECT DISTINCT k, template, label, t_words, span, t_place FROM votes JOIN spans USING (k, template, diagonal)),
+hits AS (SELECT DISTINCT k, template, label, t_words, t_own, own, span, t_place FROM votes JOIN spans USING (k, template, diagonal)),
 steps AS (
   SELECT *, least(3, coalesce(lead(t_place) OVER (PARTITION BY k, template, span ORDER BY t_place) - t_place, 3)) AS step FROM hits),
 sound AS (
-  SELECT k, label, t_words, sum(step) AS covered FROM steps GROUP BY k, template, label, t_words, span
-  HAVING sum(step) >= 5 AND sum(step) >= 0.6 * (max(t_place) - min(t_place) + 3)),
+  SELECT k, label, t_words, sum(step) AS covered FROM steps GROUP BY k, template, label, t_words, t_own, span
+  HAVING sum(step) >= least(t_words, 12) AND count(*) FILTER (WHERE own) >= least(t_own, 4) AND sum(step) >= 0.6 * (max(t_place) - min(t_place) + 3)),
 more_of AS (SELECT k, list(label) AS more, max(covered / t_words) AS score FROM sound GROUP BY k)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(own), ','), '') AS base_labels,

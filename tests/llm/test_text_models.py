@@ -164,3 +164,26 @@ def test_license_scan(spark, docs, no_docs):
     assert by_id[100].labels == "mit" and by_id[100].base_labels == "" and by_id[13].n_base == 3
     assert by_id[14].labels == "apache" and by_id[101].n_base == 1 and by_id[102].labels == "" and by_id[0].labels == ""
     assert license_scan(spark, no_docs).count() == 0
+
+
+def test_license_bodies_are_told_apart(spark):
+    """Whole texts, parts of them and edited copies get their own label only, although disclaimers are shared."""
+    from lakeweave.llm.license_texts import TEXTS
+
+    whole: dict[str, str] = {}
+    for label, text in TEXTS:
+        whole[label] = whole.get(label, "") + "\n" + text
+    rows, want = [], {}
+    for i, (label, text) in enumerate(whole.items()):
+        words = text.split()
+        edited = [w if k % 23 else "changed" for k, w in enumerate(words)]
+        rows += [(3 * i, text.upper()), (3 * i + 1, "before it " * 30 + text + " after it" * 30), (3 * i + 2, " ".join(edited) if len(words) > 60 else text)]
+        want |= {3 * i + k: label for k in range(3)}
+    mit = whole["mit"].split()
+    rows += [(900, " ".join(mit[-70:])), (901, "under the terms of the contract and subject to the following conditions you may use this software for any purpose")]
+    want |= {900: "mit", 901: ""}
+    found = {r.doc_id: r for r in license_scan(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # "Lesser general public license" holds a base phrase of another label.
+    own = lambda d: {want[d], *found[d].base_labels.split(",")} - {""}
+    wrong = {d: found[d].labels for d in want if own(d) != {*found[d].labels.split(",")} - {""}}
+    assert not wrong, wrong
