@@ -12,7 +12,8 @@ hash of their id among those whose document exists, whatever the size of the tab
 whole texts are used. Counts are summed in executors; the driver takes the lessons' kept features a part at
 a time and walks over them in slices, so that no feature has to go for its memory. Scores are computed for every document in one pass; the weights are the only thing that is sent to workers.
 
-Cases: a null or empty text gets the intercept's score. Several labels of a doc_id count as the largest.
+Cases: a null or empty text gets the intercept's score. Several labels of a doc_id count as the largest,
+and several texts of a doc_id teach once, with the smallest text.
 Labels that are null, or whose text is missing, teach nothing. Without labelled rows of both classes the
 score is the share of toxic labels (0 without any). Null doc_ids are scored. Empty tables give no rows.
 Other columns are ignored.
@@ -183,7 +184,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, teaches, per_cl
     hashed = there.withColumn("h", F.xxhash64("doc_id"))
     sample = hashed.where("toxic = 1").orderBy("h", "doc_id").limit(per_class).unionByName(hashed.where("toxic = 0").orderBy("h", "doc_id").limit(per_class)).select("doc_id", "toxic")
     # The sample has at most 2 * per_class short rows, so it may be broadcast at any input size.
-    lessons = written(spark, texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"), "lessons")
+    taught = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    lessons = written(spark, taught.select("text", "toxic"), "lessons")
     lessons = lessons.repartition(min(16, spark.sparkContext.defaultParallelism))  # each part shuffles 2 MB of counts
 
     n = np.zeros(2, np.int64)

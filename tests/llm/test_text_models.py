@@ -134,6 +134,60 @@ def test_toxicity(spark, docs, no_docs):
     assert toxicity(spark, no_docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
 
 
+def brute_toxicity(rows, labels):
+    """The classifier anew: n-grams cut one by one, counts in dictionaries, Newton's method on a dense matrix."""
+    from lakeweave.llm.toxicity import BITS, LEAST_Z, ORDERS
+
+    def bag(text):
+        chars = [c.lower() if c.lower().isalnum() and len(c.lower()) == 1 else c if c.isalnum() else " " for c in text]
+        out = set()
+        for n in ORDERS:
+            for i in range(len(chars) - n + 1):
+                x = 0
+                for c in chars[i : i + n]:
+                    x = (x * 0x100000001B3 + ord(c)) % 2**64
+                out.add(max(1, (x * (0x9E3779B97F4A7C15 + 2 * n) % 2**64) >> (64 - BITS)))
+        return out
+
+    bags = {i: bag(t or "") for i, t in rows}
+    taught = {i: t for i, t in labels if zlib.crc32(str(i).encode()) % 5}
+    n = [sum(t == k for t in taught.values()) for k in (0, 1)]
+    counts = [Counter(b for i, t in taught.items() if t == k for b in bags[i]) for k in (0, 1)]
+    r = {}
+    for b in {*counts[0], *counts[1]}:
+        q, p = counts[0][b] / n[0], counts[1][b] / n[1]
+        both = (counts[0][b] + counts[1][b]) / sum(n)
+        if abs(p - q) >= LEAST_Z * math.sqrt(max(both * (1 - both), 1e-12) * (1 / n[0] + 1 / n[1])) and counts[0][b] + counts[1][b] >= 5:
+            r[b] = math.log((counts[1][b] + 0.5) / (n[1] + 1)) - math.log((counts[0][b] + 0.5) / (n[0] + 1))
+    used = sorted(r)
+    row = lambda i: [r[b] * (b in bags[i]) for b in used] + [1.0]
+    x, y, w = np.array([row(i) for i in taught]), np.array(list(taught.values()), float), np.zeros(len(used) + 1)
+    ridge = np.append(np.ones(len(used)), 0.0)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(ridge + 1e-9), x.T @ (p - y) + ridge * w)
+        w -= step / max(1.0, np.abs(step).max())
+    return {i: 1 / (1 + math.exp(-float(np.array(row(i)) @ w))) for i, _ in rows}
+
+
+def test_toxicity_against_a_plain_refit(spark):
+    import random
+
+    rnd = random.Random(9)
+    rows = [(i, " ".join([*prose(rnd, 12).split(), *(rnd.choice(["Rotten,", "ÜBEL", "vile-one"]) for _ in range(2 * (i % 3 == 0)))])) for i in range(150)]
+    rows += [(150, ""), (151, None), (152, "Rotten " * 400)]
+    again = [(3, "~ " + rows[3][1]), (1, "~ rotten rotten")] * 50  # repeated ids teach once
+    labels = [(i, int(i % 3 == 0)) for i in range(150)]
+    want = brute_toxicity(rows, labels)
+    found = toxicity(spark, spark.createDataFrame(rows + again, "doc_id long, text string"), spark.createDataFrame([(i, 1, t) for i, t in labels], "doc_id long, quality int, toxic int")).collect()
+    assert {r.doc_id for r in found} == set(want) and len(found) == len(rows + again)
+    for r in found:
+        if r.doc_id in (1, 3):
+            continue
+        assert abs(r.score - want[r.doc_id]) < 0.01, (r.doc_id, r.score, want[r.doc_id])
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
 def test_toxicity_learns_rare_words_from_documents_that_exist(spark):
     """Eight words, each in an eighth of the toxic documents; three labels of four name no document."""
     import random
