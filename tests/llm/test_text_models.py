@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from lakeweave.llm import queries
 from lakeweave.llm.common import crc_bucket
 from lakeweave.llm.elias_fano import EliasFano
 from lakeweave.llm.licenses import license_scan
-from lakeweave.llm.ngram_lm import DISCOUNT, STEPS, lm_scores
+from lakeweave.llm.ngram_lm import DISCOUNT, STEPS, collapse, lm_scores
 from lakeweave.llm.quality_rules import SYMBOLS, keep_good, quality_rules
 from lakeweave.llm.toxicity import ratios, toxicity
 from tests.llm.conftest import nasty, prose
@@ -37,35 +38,60 @@ def is_held(doc_id):
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 7 == 2
 
 
-def test_lm_scores(spark, docs, no_docs):
-    rows = nasty()
-    words = lambda t: [*(t or "").encode().lower().split(), 0]
-    uni, pairs, context = Counter(), Counter(), Counter()
+def brute_scores(rows, order):
+    """Interpolated absolute discounting from plain counters; n-grams hold at most one begin mark (1), the end is 0."""
+    words = lambda t: [1, *(t or "").encode().lower().split(), 0]
+    grams, context, follow = Counter(), Counter(), Counter()
     for doc_id, text in rows:
         if not is_held(doc_id):
-            w = [1, *words(text)]
-            uni.update(w[1:]), pairs.update(zip(w, w[1:])), context.update(w[:-1])  # noqa: B905
-    n, v, follow = sum(uni.values()), len(uni), Counter(a for a, _ in pairs)
-    want = []
+            w = words(text)
+            for i in range(1, len(w)):
+                for k in range(min(order, i + 1)):
+                    grams[tuple(w[i - k : i + 1])] += 1
+    for g, c in grams.items():
+        context[g[:-1]] += c
+        follow[g[:-1]] += 1
+    n, v, want = context[()], follow[()], []
     for doc_id, text in rows:
-        w, base, score, known = [1, *words(text)], 0.0, 0.0, 0
-        for a, b in zip(w, w[1:]):  # noqa: B905
-            base += math.log10((uni[b] + 1) / (n + v + 1))
-            known += uni[b] > 0
-            p = max(uni[b] - DISCOUNT, 0) / n + DISCOUNT * v / n / (v + 1)
-            if context[a]:
-                p = max(pairs[a, b] - DISCOUNT, 0) / context[a] + DISCOUNT * follow[a] / context[a] * p
+        w, base, score, known = words(text), 0.0, 0.0, 0
+        for i in range(1, len(w)):
+            c = grams[(w[i],)]
+            base += math.log10((c + 1) / (n + v + 1))
+            known += c > 0
+            p = max(c - DISCOUNT, 0) / n + DISCOUNT * v / n / (v + 1)
+            for k in range(1, min(order, i + 1)):
+                before = tuple(w[i - k : i])
+                if context[before]:
+                    p = max(grams[(*before, w[i])] - DISCOUNT, 0) / context[before] + DISCOUNT * follow[before] / context[before] * p
             score += math.log10(p)
         want.append((doc_id, len(w) - 1, known, base, score))
-    got = lm_scores(spark, docs, crc_bucket(F.col("doc_id"), 7) == 2).collect()
-    order = lambda rows: sorted(rows, key=lambda r: (str(r[0]), r[1], r[3]))
-    for g, w in zip(order(tuple(r)[:5] for r in got), order(want), strict=True):
+    return n, want
+
+
+@pytest.mark.parametrize(("order", "mass"), [(3, 4_000_000), (3, 300), (2, 1000), (4, 700)])
+def test_lm_scores(spark, docs, no_docs, order, mass):
+    """Small masses make many shards and split heavy contexts over several."""
+    n, want = brute_scores(nasty(), order)
+    got = lm_scores(spark, docs, crc_bucket(F.col("doc_id"), 7) == 2, order=order, mass=mass).collect()
+    keyed = lambda rows: sorted(rows, key=lambda r: (str(r[0]), r[1], r[3]))
+    for g, w in zip(keyed(tuple(r)[:5] for r in got), keyed(want), strict=True):
         assert g[:3] == w[:3]
         assert abs(g[3] - w[3]) < 1e-6 * max(1, abs(w[3]))
-        assert abs(g[4] - w[4]) <= 2.5 * w[1] / STEPS
+        # Each level's values are rounded down by up to a step.
+        assert -1e-6 * max(1, abs(w[4])) <= w[4] - g[4] <= (order + 0.5) * w[1] / STEPS
     assert {r.train_tokens for r in got} == {n}
-    assert lm_scores(spark, no_docs, F.lit(False)).count() == 0
-    assert [r.score for r in lm_scores(spark, docs.limit(2), F.lit(True)).collect()] == [0.0, 0.0]
+    if mass == 300:
+        assert lm_scores(spark, no_docs, F.lit(False)).count() == 0
+        assert [r.score for r in lm_scores(spark, docs.limit(2), F.lit(True)).collect()] == [0.0, 0.0]
+
+
+def test_pairs_collapse_alike_on_both_paths():
+    """Keys that fit 64 bits and keys that don't."""
+    rnd = np.random.default_rng(3)
+    c, t, n = rnd.integers(0, 50, 2000), rnd.integers(0, 40, 2000), rnd.integers(1, 9, 2000)
+    for counts in (None, n):
+        for a, b in zip(collapse(c, t, counts, 41), collapse(c, t, counts, 2**63), strict=True):
+            assert (a == b).all()
 
 
 def oracle(sql, rows):
