@@ -2,7 +2,8 @@
 
 Texts are lower-cased (A-Z) and their sets of five-word shingles hashed (a shorter text's whole sequence
 is one shingle). Equal sets form a class with one representative, so copies cost one row each and are
-never paired. A class's signature comes from two permutations of the hashes: the first scatters them
+never paired; classes are numbered as their table is written, and buckets, links and components carry
+these numbers. A class's signature comes from two permutations of the hashes: the first scatters them
 around the circle of 64-bit values once, the second is applied to the same values shifted by k places,
 and the minimum for each shift k is coordinate k. Bands of ``rows`` coordinates are the bucket keys; a
 pair with a similarity of 0.85 or more shares no bucket with a probability of at most 2e-8.
@@ -11,12 +12,12 @@ Links are found without pairing a bucket's members with each other:
 1. every member is verified against its bucket's smallest member, on full sets;
 2. these links give first components;
 3. only buckets that still hold several components go on: members outside a bucket's largest component
-   are compared with the others' signatures in cells of bounded size, partners that could reach the
-   threshold are verified on full sets, and the links join the components.
+   are compared with the signatures of others of a fitting set size in cells of bounded size, partners that
+   could reach the threshold are verified on full sets, and the links join the components.
 Two classes that share a bucket are thus either in one component already or have been compared, so no link
 between different texts is lost to the way buckets are read. A pair is listed in the first band whose keys
-agree in their upper 32 bits; chance agreement of an earlier band loses less than 6e-9 of pairs. Candidates travel as lists for each document and
-block of partners, not as rows for each pair.
+agree in their upper 32 bits; chance agreement of an earlier band loses less than 6e-9 of pairs. Candidates
+travel as lists for each document and block of partners, not as rows for each pair.
 
 Cases: a null text or one without words has an empty set, links with nothing and is kept. Rows that share
 a doc_id are one document when components are numbered. Null doc_ids stay null and never name a component
@@ -36,7 +37,7 @@ from lakeweave.llm.common import byte_slices, shuffle_width, spread, written
 from lakeweave.llm.hashing import STEPS, U, mix, shingle_sets, word_hashes
 
 BANDS, ROWS = 24, 4
-CELL, BLOCK = 1024, 1024
+CELL, BLOCK = 4096, 1024
 #: Standard deviations below the expected agreement at the threshold that still count as a candidate.
 SLACK = 5.5
 
@@ -94,7 +95,7 @@ def document_sets(docs: DataFrame, n: int = 5) -> DataFrame:
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b): label spreading with pointer jumping, written each round."""
     both = written(spark, edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
-    labels = written(spark, both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+    labels = written(spark, both.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("node"), F.least("near", "a").alias("root")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         step = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
@@ -106,7 +107,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def full_sets(spark: SparkSession, docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(key, set) for wanted (doc_id, key): the texts of these documents are read and hashed once more."""
+    """(cid, set) for wanted (id, key, cid): the texts of these documents are read and hashed once more."""
 
     def scan(batches):
         for batch in batches:
@@ -119,22 +120,25 @@ def full_sets(spark: SparkSession, docs: DataFrame, wanted: DataFrame, n: int) -
 
     tagged = _texts(docs).withColumn("id", F.coalesce("doc_id", F.lit(2**63 - 1)))
     texts = tagged.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
-    sets = texts.mapInArrow(scan, "key binary, set binary").join(wanted.select("key"), "key", "left_semi")
-    return written(spark, sets.groupBy("key").agg(F.first("set").alias("set")), "sets")
+    sets = texts.mapInArrow(scan, "key binary, set binary").join(wanted.select("key", "cid"), "key")
+    return written(spark, sets.groupBy("key").agg(F.first("cid").alias("cid"), F.first("set").alias("set")).select("cid", "set"), "sets")
+
+
+def block_of(blocks: int):
+    return F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("int").alias("block")
 
 
 def exact_links(candidates: DataFrame, sets: DataFrame, blocks: int, low: int, high: int) -> DataFrame:
     """Links (a, b) among candidates (a, block, others) with high * intersection >= low * union, on full sets."""
-    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block")
-    left = candidates.join(sets.select(F.col("key").alias("a"), F.col("set").alias("own")), "a").select("block", "a", "own", "others")
-    right = sets.select(block, F.col("key").alias("name"), F.col("set").alias("theirs"))
+    left = candidates.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("own")), "a").select("block", "a", "own", "others")
+    right = sets.select(block_of(blocks), F.col("cid").alias("name"), F.col("set").alias("theirs"))
 
     def verify(left: pa.Table, right: pa.Table) -> pa.Table:
         here = {k: i for i, k in enumerate(right["name"].to_pylist())}
         raw = right["theirs"]
-        out_a: list[bytes] = []
-        out_b: list[bytes] = []
-        for a, mine, others in zip(left["a"], left["own"], left["others"], strict=True):
+        out_a: list[int] = []
+        out_b: list[int] = []
+        for a, mine, others in zip(left["a"].to_pylist(), left["own"], left["others"], strict=True):
             own, names = np.frombuffer(mine.as_buffer(), np.uint64), others.as_py()
             for at in range(0, len(names), 256):
                 part = names[at : at + 256]
@@ -144,14 +148,14 @@ def exact_links(candidates: DataFrame, sets: DataFrame, blocks: int, low: int, h
                 place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
                 both = np.add.reduceat((own[place] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
                 for i in np.flatnonzero(high * both >= low * (sizes + len(own) - both)):
-                    out_a.append(a.as_py()), out_b.append(part[i])
-        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+                    out_a.append(a), out_b.append(part[i])
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
-    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(verify, "a binary, b binary")
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(verify, "a long, b long")
 
 
-def _compare_cells(batches, least: int):
-    """Cells come whole and in order: askers (side 0), then members (side 1). Emits (a, other) lists."""
+def _compare_cells(batches, least: int, low: int, high: int):
+    """Cells come whole and in order: askers (side 0), then members (side 1). Emits (a, others) lists by block."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -161,77 +165,86 @@ def _compare_cells(batches, least: int):
             continue
         whole = len(cells) - int(np.argmax(cells[::-1] != cells[-1])) if cells[0] != cells[-1] else 0
         if whole:
-            yield from _cells(rest.slice(0, whole), least)
+            yield from _cells(rest.slice(0, whole), least, low, high)
             rest = rest.slice(whole)
     if rest is not None and rest.num_rows:
-        yield from _cells(rest, least)
+        yield from _cells(rest, least, low, high)
 
 
-def _cells(table: pa.Table, least: int):
+def _cells(table: pa.Table, least: int, low: int, high: int):
     table = table.combine_chunks()
-    cells, side = table["cell"].to_numpy(), table["side"].to_numpy()
-    keys, roots, blocks = table["key"].to_pylist(), table["root"].to_pylist(), table["block"].to_pylist()
-    sig, turns = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(keys), -1), table["turn"].to_numpy()
-    tags = table["tags"].combine_chunks().flatten().to_numpy().reshape(len(keys), -1)
+    cells, side, turns = table["cell"].to_numpy(), table["side"].to_numpy(), table["turn"].to_numpy()
+    names, roots, blocks, sizes = (table[c].to_numpy() for c in ("cid", "root", "block", "size"))
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(names), -1)
+    tags = table["tags"].combine_chunks().flatten().to_numpy().reshape(len(names), -1)
     bounds = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]
     out_a, out_block, out_b = [], [], []
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         cut = lo + int(np.searchsorted(side[lo:hi], 1))
-        members = sig[cut:hi]
-        for i in range(lo, cut):
-            by_block: dict[int, list[bytes]] = {}
-            for j in np.flatnonzero((members == sig[i]).sum(axis=1) >= least).tolist():
-                # A pair that shares several bands is listed in the first of them only: the first by band keys, as
-                # bytes of a signature may agree in a band in which the two never meet.
-                if roots[cut + j] != roots[i] and (tags[cut + j] == tags[i]).argmax() == turns[i]:
-                    by_block.setdefault(blocks[cut + j], []).append(keys[cut + j])
-            for b, others in by_block.items():
-                out_a.append(keys[i]), out_block.append(b), out_b.append(others)
+        # By set size: sizes of a linked pair lie within low / high of each other, so an asker meets one stretch only.
+        order = cut + np.argsort(sizes[cut:hi], kind="stable")
+        by_size = sizes[order]
+        members = sig[order]
+        first = np.searchsorted(by_size, -(-low * sizes[lo:cut] // high), "left")
+        last = np.searchsorted(by_size, high * sizes[lo:cut] // low, "right")
+        for i, f, t in zip(range(lo, cut), first.tolist(), last.tolist(), strict=True):
+            near = order[f + np.flatnonzero((members[f:t] == sig[i]).sum(axis=1) >= least)]
+            near = near[roots[near] != roots[i]]
+            # A pair that shares several bands is listed in the first of them only: the first by band keys, as
+            # bytes of a signature may agree in a band in which the two never meet.
+            near = near[(tags[near] == tags[i]).argmax(axis=1) == turns[i]] if len(near) else near
+            for b in np.unique(blocks[near]).tolist():
+                out_a.append(names[i]), out_block.append(b), out_b.append(names[near[blocks[near] == b]])
     if out_a:
-        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_block, pa.int32()), pa.array(out_b, pa.list_(pa.binary()))], names=["a", "block", "others"])
+        ends = np.cumsum([0, *map(len, out_b)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out_b), pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_block, pa.int32()), lists], names=["a", "block", "others"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, low: int = 85, high: int = 100, n: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for docs (doc_id, text): links where high * intersection >= low * union."""
     per_doc = written(spark, document_sets(docs, n), "sets-of-documents")
     far = F.lit(2**63 - 1)
-    classes = written(spark, per_doc.where("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", far)).alias("first"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")), "classes")
-    rows = classes.select("key", F.posexplode("bands").alias("turn", "band"))
-    shared = rows.groupBy("band").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    classes = per_doc.where("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", far)).alias("first"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"))
+    # Numbers are fixed when the table is written.
+    classes = written(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    rows = classes.select("cid", F.posexplode("bands").alias("turn", "band"))
+    shared = rows.groupBy("band").agg(F.min("cid").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written(spark, rows.join(shared, "band"), "buckets")
-    inside = written(spark, members.select("key").distinct().join(classes.select("key", F.col("first").alias("id")), "key"), "bucket-members")
+    inside = written(spark, members.select("cid").distinct().join(classes.select("cid", "key", F.col("first").alias("id")), "cid"), "bucket-members")
     n_in, edges = inside.count(), None
     if n_in:
         blocks = max(1, -(-n_in // BLOCK), min(n_in // 64, shuffle_width(spark)))
-        block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block")
         sets = full_sets(spark, docs, inside, n)
-        stars = members.where("key <> rep").groupBy(F.col("rep").alias("a"), block).agg(F.collect_set("key").alias("others"))
+        stars = members.where("cid <> rep").groupBy(F.col("rep").alias("a"), block_of(blocks)).agg(F.collect_set("cid").alias("others"))
         edges = written(spark, exact_links(stars, sets, blocks, low, high), "links")
         roots = components(spark, edges)
-        placed = members.join(roots.withColumnRenamed("node", "key"), "key", "left").select("band", "turn", "n", "key", F.coalesce("root", "key").alias("root"))
+        placed = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("band", "turn", "n", "cid", F.coalesce("root", "cid").alias("root"))
         placed = written(spark, placed, "placed")
         tops = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
         tags = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("tags")
-        open_ = placed.join(tops.where("roots > 1").select("band", F.col("m.root").alias("top")), "band").join(classes.select("key", "sig", tags), "key")
+        open_ = placed.join(tops.where("roots > 1").select("band", F.col("m.root").alias("top")), "band").join(classes.select("cid", "size", "sig", tags), "cid")
         late_blocks = max(1, -(-n_in // BLOCK))
-        late_block = F.pmod(F.xxhash64("key"), F.lit(late_blocks)).cast("int").alias("block")
         wide = F.ceil(F.col("n") / CELL).cast("int")
-        spot = lambda seed: F.pmod(F.xxhash64("key", F.lit(seed)), wide)
+        spot = lambda seed: F.pmod(F.xxhash64("cid", F.lit(seed)), wide)
         every = F.explode(F.sequence(F.lit(0).cast("long"), (wide - 1).cast("long")))
         asks = open_.where("root <> top").withColumn("x", spot(1)).withColumn("y", every).withColumn("side", F.lit(0))
         hears = open_.withColumn("y", spot(2)).withColumn("x", every).withColumn("side", F.lit(1))
-        cells = asks.unionByName(hears).select(F.xxhash64("band", "x", "y").alias("cell"), "side", "turn", "key", "root", "sig", "tags", late_block)
+        cells = asks.unionByName(hears).select(F.xxhash64("band", "x", "y").alias("cell"), "side", "turn", "cid", "root", "size", "sig", "tags", block_of(late_blocks))
         share = low / high
         least = int(BANDS * ROWS * share - SLACK * (BANDS * ROWS * share * (1 - share)) ** 0.5)
-        pairs = cells.repartition(shuffle_width(spark), "cell").sortWithinPartitions("cell", "side").mapInArrow(lambda b: _compare_cells(b, least), "a binary, block int, others array<binary>")
+        pairs = cells.repartition(shuffle_width(spark), "cell").sortWithinPartitions("cell", "side").mapInArrow(lambda b: _compare_cells(b, least, low, high), "a long, block int, others array<long>")
         late = pairs.groupBy("a", "block").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
         more = exact_links(late, sets, late_blocks, low, high)
         edges = edges.unionByName(more)
-    labels = classes.select("key", "first", F.col("key").alias("root"), "copies")
+    labels = classes.select("key", "first", F.col("cid").alias("root"), "copies")
     if edges is not None:
         roots = components(spark, written(spark, edges, "all-links"))
-        labels = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "first", F.coalesce("root", "key").alias("root"), "copies")
-    labels = labels.withColumn("linked", (F.col("copies") > 1) | (F.col("root") != F.col("key")))
+        labels = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "key", "first", F.coalesce("root", "cid").alias("root"), "copies")
+        linked = (F.col("copies") > 1) | (F.col("root") != F.col("cid"))
+    else:
+        linked = F.col("copies") > 1
+    labels = labels.withColumn("linked", linked)
     smallest = labels.groupBy("root").agg(F.min("first").alias("smallest"), F.count(F.lit(1)).alias("n"), F.bool_or("linked").alias("any")).where("any OR n > 1")
     names = labels.join(smallest.select("root", "smallest"), "root").select("key", F.when(F.col("smallest") < far, F.col("smallest")).alias("smallest"))
     out = per_doc.select("doc_id", "n_shingles", "key").join(names, "key", "left")
@@ -242,13 +255,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, low: int = 85, high: i
 def keep_one(spark: SparkSession, docs: DataFrame, low: int = 85) -> DataFrame:
     """The rows of docs, all their columns, less all but the smallest doc_id of each component; texts are linked from low hundredths on.
 
-    Rows that repeat a kept row's doc_id and text go as well; rows with a null doc_id stay.
+    Rows that repeat a kept row's doc_id and text go as well; rows with a null doc_id stay. Whole documents meet the
+    verdicts once, by a shuffled hash join that streams them: they are never sorted, and the plan is the same at every size.
     """
-    found = written(spark, near_duplicates(spark, docs, low), "near-duplicates")
-    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.isEmpty():
-        return left
-    twice = left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(twice)
+    found = near_duplicates(spark, docs, low).where("doc_id IS NOT NULL")
+    verdicts = found.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    verdicts = written(spark, verdicts.where("NOT kept OR n > 1"), "verdicts")
+    left = docs.join(verdicts.hint("shuffle_hash"), docs["doc_id"] == verdicts["doc_id"], "left").where(F.coalesce(verdicts["kept"], F.lit(True)))
+    own = [docs[f"`{c}`"] for c in docs.columns]
+    if verdicts.where("kept").isEmpty():
+        return left.select(own)
+    twice = left.where(verdicts["n"] > 1).select(own).dropDuplicates(["doc_id", "text"])
+    return left.where(verdicts["n"].isNull()).select(own).unionByName(twice)

@@ -71,10 +71,10 @@ def test_late_pass_lists_pairs_despite_a_chance_match_of_bytes():
     a = np.arange(BANDS * ROWS, dtype=np.uint8)
     tags = np.arange(BANDS, dtype=np.int32)
     other = np.where(np.isin(tags, (5, 7)), tags, tags + 1000).astype(np.int32)
-    for turn, listed in ((5, [([b"a"], [[b"b"]])]), (7, [])):
-        cell = pa.table({"cell": pa.array([1, 1, 1], pa.int64()), "side": [0, 1, 1], "turn": [turn] * 3, "key": [b"a", b"a", b"b"], "root": [b"a", b"a", b"b"],
+    for turn, listed in ((5, [([1], [[2]])]), (7, [])):
+        cell = pa.table({"cell": pa.array([1, 1, 1], pa.int64()), "side": [0, 1, 1], "turn": [turn] * 3, "cid": [1, 1, 2], "root": [1, 1, 2], "size": [9, 9, 9],
                          "sig": [a.tobytes()] * 3, "tags": pa.array([tags, tags, other], pa.list_(pa.int32())), "block": pa.array([0, 0, 0], pa.int32())})
-        found = [(b["a"].to_pylist(), b["others"].to_pylist()) for batch in cell.to_batches() for b in _compare_cells([batch], 62)]
+        found = [(b["a"].to_pylist(), b["others"].to_pylist()) for batch in cell.to_batches() for b in _compare_cells([batch], 62, 85, 100)]
         assert found == listed
 
 
@@ -113,6 +113,16 @@ def test_top_k(spark):
     assert top_k(spark, frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_with_large_components(spark):
+    """Finite values of any size are ranked exactly; only a best score beyond 64 bits is refused."""
+    rows = [(0, [1.0, 2.0]), (1, [2.0**45, 0.0]), (2, [2.0**45, 2.0**-8]), (3, [-(2.0**60), 1.0]), (4, [3.0, 3.0]), (5, [-1e300, 0.0]), (6, [0.5, 0.25])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r)[1:] for r in top_k(spark, frame, F.col("vec_id") == 0, k=4).orderBy("rank").collect()]
+    assert got == [(1, 2, 2**61 + 512), (2, 1, 2**61), (3, 4, 256 * 256 * 9), (4, 6, 256 * 128 + 512 * 64)]
+    with pytest.raises(Exception, match="outside 64-bit"):
+        top_k(spark, frame, F.col("vec_id") == 0, k=5).collect()
+
+
 def test_warc_round_trip(spark):
     pages = [(1, "http://a/1", "<p>one</p>"), (2, "http://a/2", "<p>one</p>"), (3, None, None), (4, "http://a/4\nx", ""), (5, "u", "hé" * 100_000), (2, "http://a/2", "<p>one</p>"), (None, "u", "<p>one</p>"), (None, "u", "alone")]
     frame = spark.createDataFrame([(*p, "x", 1) for p in pages], "page_id long, url string, html string, sha string, first int")
@@ -126,6 +136,26 @@ def test_warc_round_trip(spark):
     assert warc_round_trip(spark, frame.limit(0)).count() == 0
 
 
+def test_warc_keeps_one_response_of_each_payload_of_one_split(spark):
+    """4,000 pages with 100 payloads in one split, a third of them rows that repeat a page_id, url and payload."""
+    rnd = random.Random(8)
+    pages = [(i, f"http://h/{i}", f"<p>payload {rnd.randrange(100)}</p>") for i in range(2600)]
+    pages += [pages[0]] * 700 + [(None, "http://none", "<p>payload 7</p>")] * 350 + [(None, "http://none", "<p>only null ids</p>")] * 350
+    rnd.shuffle(pages)
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    rows = warc_round_trip(spark, frame).collect()
+    assert len(rows) == len(pages)
+    least = {}
+    for i, _, h in pages:
+        least[h] = min(least.get(h, 10**9), 10**8 if i is None else i)
+    by_digest = {base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(): i if i < 10**8 else None for h, i in least.items()}
+    responses = [(r.payload_digest, r.page_id) for r in rows if r.record_type == "response"]
+    assert sorted(map(str, responses)) == sorted(map(str, by_digest.items()))
+    assert all(r.refers_to == by_digest[r.payload_digest] for r in rows if r.record_type == "revisit")
+    tiny = warc_round_trip(spark, frame, min_bytes=17).collect()
+    assert sum(r.record_type == "response" for r in tiny) == sum(len(h) < 17 for _, _, h in pages) + sum(len(h) >= 17 for h in least)
+
+
 def test_warc_reader_refuses_damage():
     good = record_bytes(7, "http://x", b"payload", True, None)
     assert [r["payload_bytes"] for r in read_records(io.BytesIO(good + good))] == [7, 7]
