@@ -28,14 +28,26 @@ def line_units(docs: DataFrame, lines_per_unit: int = 50) -> DataFrame:
     return units.groupBy("doc_id", "unit").agg(F.expr("listagg(line, '\n') WITHIN GROUP (ORDER BY pos)").alias("text"), F.count(F.lit(1)).alias("n_lines"))
 
 
+LEVELS = range(1, 6)
+
+
 def blocks_from_units(units: DataFrame) -> DataFrame:
-    """K1: paragraphs of units (doc_id, idx, text, page) with labels and the running path of headings (native but for the path fold)."""
+    """K1: paragraphs of units (doc_id, idx, text, page) with labels and the running path of headings.
+
+    K2: a heading leaves the path as soon as one of its level or above follows it. So the path holds, for each level, its
+    last heading if none above came later: one running value a level, in a single window over the document.
+    """
     parts = units.select("doc_id", "idx", "page", F.posexplode(T.paragraphs(T.normalize_text("text"))).alias("pos", "text"))
     parts = parts.withColumn("head", T.section_heading("text")).withColumn("types", T.classify_block("text"))
-    seen = F.collect_list(F.when(F.col("head").isNotNull(), F.struct("head.level", "head.heading"))).over(Window.partitionBy("doc_id").orderBy("idx", "pos").rowsBetween(Window.unboundedPreceding, 0))
-    # K2: a heading leaves the path as soon as one of its level or above follows it.
-    path = F.aggregate(seen, F.array().cast("array<struct<level:int,heading:string>>"), lambda s, h: F.concat(F.filter(s, lambda x: x["level"] < h["level"]), F.array(h)))
-    return parts.withColumn("stack", path).select("doc_id", "idx", "pos", "page", "text", "types", F.transform("stack", lambda x: x["heading"]).alias("section_path"), F.coalesce(F.try_element_at(F.transform("stack", lambda x: x["heading"]), F.lit(-1)), F.lit("")).alias("section"), F.coalesce(F.try_element_at(F.transform("stack", lambda x: x["level"]), F.lit(-1)), F.lit(0)).alias("section_level"))
+    place = F.struct("idx", "pos").alias("at")
+    order = Window.partitionBy("doc_id").orderBy("idx", "pos").rowsBetween(Window.unboundedPreceding, 0)
+    last = [F.last(F.when(F.col("head.level") == n, F.struct(place, F.col("head.level").alias("level"), F.col("head.heading").alias("heading"))), True).over(order).alias(f"last{n}") for n in LEVELS]
+    seen = parts.select("doc_id", "idx", "pos", "page", "text", "types", *last)
+    above = lambda n: F.greatest(*(F.col(f"last{k}.at") for k in range(1, n)), F.lit(None)) if n > 1 else F.lit(None)
+    kept = F.array_compact(F.array(*(F.when(above(n).isNull() | (F.col(f"last{n}.at") > above(n)), F.col(f"last{n}")) for n in LEVELS)))
+    stack = seen.select("doc_id", "idx", "pos", "page", "text", "types", kept.alias("stack"))
+    names = F.transform("stack", lambda x: x["heading"])
+    return stack.select("doc_id", "idx", "pos", "page", "text", "types", names.alias("section_path"), F.coalesce(F.try_element_at(names, F.lit(-1)), F.lit("")).alias("section"), F.coalesce(F.try_element_at(F.transform("stack", lambda x: x["level"]), F.lit(-1)), F.lit(0)).alias("section_level"))
 
 
 def _frame(doc_id, chunks: list[folds.Block]) -> pd.DataFrame:
@@ -43,17 +55,33 @@ def _frame(doc_id, chunks: list[folds.Block]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["doc_id", "chunk_index", "text", "token_count", "chunk_type", "section", "section_path", "section_level", "page", "end_page", "block_types", "oversized", "table_split"])
 
 
+def _blocks_of(pdf: pd.DataFrame) -> list[folds.Block]:
+    pdf = pdf.sort_values(["idx", "pos"])
+    return [folds.Block(t, int(p or 0), 0, s or "", list(path), int(n or 0), list(k)) for t, p, s, path, n, k in zip(pdf["text"], pdf["page"].fillna(0), pdf["section"], pdf["section_path"], pdf["section_level"].fillna(0), pdf["types"], strict=True)]
+
+
 def pack_chunks(blocks: DataFrame, target: int = 1000, limit: int = 1200) -> DataFrame:
     """K3 with K4 to K7: chunks of blocks (doc_id, idx, pos, text, page, types, section, section_path, section_level)."""
 
-    def fold(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["idx", "pos"])
-        made = [folds.Block(t, int(p or 0), 0, s or "", list(path), int(n or 0), list(k)) for t, p, s, path, n, k in zip(pdf["text"], pdf["page"].fillna(0), pdf["section"], pdf["section_path"], pdf["section_level"].fillna(0), pdf["types"], strict=True)]
-        return _frame(str(key[0]), folds.pack_blocks(made, target, limit)[0])
+    def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return _frame(str(key[0]), folds.pack_blocks(_blocks_of(pdf), target, limit)[0])
 
     return blocks.groupBy("doc_id").applyInPandas(fold, CHUNKS)
 
 
+LOG = "doc_id string, blocks_in int, chunks_out int, token_limit_violations int, " + ", ".join(f"{name} int" for name in folds.COUNTERS)
+
+
+def chunking_log(blocks: DataFrame, target: int = 1000, limit: int = 1200) -> DataFrame:
+    """K9: what packing did to each document's blocks, a row a document; the run's log is this table's sums."""
+
+    def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        made, counts = folds.pack_blocks(_blocks_of(pdf), target, limit)
+        return pd.DataFrame([{"doc_id": str(key[0]), "blocks_in": len(pdf), "chunks_out": len(made), "token_limit_violations": sum(c.tokens > limit for c in made), **counts}])
+
+    return blocks.groupBy("doc_id").applyInPandas(fold, LOG)
+
+
 def chunk_extracted(blocks: DataFrame, max_tokens: int = 800) -> DataFrame:
     """K8: chunks of extracted blocks (doc_id, idx, text, kind, page, section): each block is split on its own, a heading names its own
     section, and a kind other than text is a label. The target is four fifths of the limit."""
