@@ -22,6 +22,19 @@ def first_seen(rows: DataFrame, key: str, order: str = "pos") -> DataFrame:
     return rows.withColumn("n_", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("n_ = 1").drop("n_")
 
 
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """A column pos from 0 in the order of a column of distinct values: a range sort, counts by partition and their sums,
+    so that no task holds all rows."""
+    from lakeweave.sources.scratch import settled
+
+    part = F.spark_partition_id()
+    cut = settled(rows.repartitionByRange(order).sortWithinPartitions(order).select("*", part.alias("part_"), F.monotonically_increasing_id().alias("at_")), "numbered")
+    sizes = cut.groupBy("part_").agg(F.count(F.lit(1)).alias("n_"), F.min("at_").alias("low_"))
+    # One row for each partition: few enough for one window.
+    starts = sizes.select("part_", "low_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start_"))
+    return cut.join(starts, "part_").select("*", (F.col("start_") + F.col("at_") - F.col("low_")).alias("pos")).drop("part_", "at_", "low_", "start_")
+
+
 def manual_resources(uris: DataFrame, limit: int = 100) -> DataFrame:
     """A1: rows (pos, uri) without fragments; other schemes than file, http, https and none, or credentials, raise an error."""
     clean = F.regexp_replace(F.trim("uri"), "#.*$", "")
@@ -93,38 +106,42 @@ def glob_pattern(glob: str) -> str:
     return fnmatch.translate(glob).replace(r"\Z", "$").replace(r"\z", "$")
 
 
-def crawl(web: DataFrame, seeds: list[str], policy: CrawlPolicy) -> tuple[DataFrame, DataFrame]:
-    """Breadth-first over the link graph of a table of fetched pages (url, body), a level at a time. Returns the pages in
-    crawl order (depth, pos, url) and counts of what was left out and why. Levels are tables; only their sizes reach the driver."""
+def crawl(web: DataFrame, seeds: list[str] | DataFrame, policy: CrawlPolicy) -> tuple[DataFrame, DataFrame]:
+    """A5: breadth-first over the link graph of a table of fetched pages (url, body), a level at a time. Returns the pages in
+    crawl order (depth, pos, url) and counts of what was left out and why; ``include`` leaves pages out of the result, not of
+    the traversal. Levels are tables; only their sizes reach the driver. seeds: URLs, or a table (pos, url) of them."""
     from lakeweave.sources.scratch import settled
 
     spark = web.sparkSession
     pages = web.select(U.canonical("url").alias("url"), "body").where("url IS NOT NULL").dropDuplicates(["url"])
-    level = first_seen(spark.createDataFrame(list(enumerate(seeds)), "pos int, raw string").select("pos", U.canonical("raw").alias("url")).where("url IS NOT NULL"), "url")
+    given = seeds if isinstance(seeds, DataFrame) else spark.createDataFrame(list(enumerate(seeds)), "pos long, url string")
+    level = first_seen(given.select(F.col("pos").cast("long").alias("pos"), U.canonical("url").alias("url")).where("url IS NOT NULL"), "url")
     hosts = [h.lower() for h in policy.domains]
     seen, out, left, done = level.select("url").limit(0), [], [], 0
     for depth in range(policy.max_depth + 1):
         reason = F.when(F.lit(bool(hosts)) & ~F.lower(U.authority("url")).isin(*(hosts or [""])), "domain")
         for prefix in policy.disallowed:
             reason = F.coalesce(reason, F.when(U.path("url").startswith(prefix), F.lit("robots")))
-        if policy.include:
-            reason = F.coalesce(reason, F.when(~T.any_of([F.col("url").rlike(glob_pattern(g)) for g in policy.include]), F.lit("include")))
         for g in policy.exclude:
             reason = F.coalesce(reason, F.when(F.col("url").rlike(glob_pattern(g)), F.lit("exclude")))
         fresh = level.join(seen, "url", "left_anti").withColumn("reason", reason)
         left.append(fresh.where("reason IS NOT NULL").select("reason"))
         fetched = settled(fresh.where("reason IS NULL").orderBy("pos").limit(policy.max_pages - done).join(pages, "url", "left"), "crawl-level")
-        out.append(fetched.where("body IS NOT NULL").select(F.lit(depth).alias("depth"), "pos", "url"))
+        wanted = T.any_of([F.col("url").rlike(glob_pattern(g)) for g in policy.include]) if policy.include else F.lit(True)
+        there = fetched.where("body IS NOT NULL").withColumn("wanted", wanted)
+        out.append(there.where("wanted").select(F.lit(depth).alias("depth"), "pos", "url"))
+        left.append(there.where("NOT wanted").select(F.lit("include").alias("reason")))
         left.append(fetched.where("body IS NULL").select(F.lit("missing").alias("reason")))
         got = fetched.count()
         done += got
         seen = settled(seen.union(fresh.select("url")).distinct(), "crawl-seen")
         if not got or done >= policy.max_pages:
             break
-        links = fetched.where("body IS NOT NULL").select(F.col("pos").alias("parent"), F.col("url").alias("base"), F.posexplode(U.anchors("body", policy.max_links)).alias("place", "href"))
+        links = there.select(F.col("pos").alias("parent"), F.col("url").alias("base"), F.posexplode(U.anchors("body", policy.max_links)).alias("place", "href"))
+        left.append(there.where(F.size(U.anchors("body", policy.max_links + 1)) > policy.max_links).select(F.lit("links truncated").alias("reason")))
         found = links.select("parent", "place", U.canonical(U.resolve(F.col("base"), F.col("href"))).alias("url")).where("url IS NOT NULL")
         first = found.groupBy("url").agg(F.min(F.struct("parent", "place")).alias("at"))
-        level = settled(first.select((F.col("at.parent").cast("long") * 1_000_000 + F.col("at.place")).alias("pos"), "url"), "crawl-links")
+        level = settled(numbered(first, "at").select("pos", "url"), "crawl-links")
     both = lambda dfs: dfs[0] if len(dfs) == 1 else dfs[0].unionByName(both(dfs[1:]))
     return both(out), both(left).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,8 +79,8 @@ def text_blocks(artifacts: DataFrame) -> DataFrame:
 
 
 def write_chunks(chunks: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Chunks as JSON lines, a folder for each document."""
-    chunks.write.partitionBy("doc_id").mode(mode).json(path)
+    """Chunks as JSON lines, each document's in one file and in order; files hold many documents."""
+    chunks.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "chunk_index").write.mode(mode).json(path)
 
 
 def write_dataset(documents: DataFrame, chunks: DataFrame, gates: DataFrame, path: str) -> None:
@@ -112,8 +113,25 @@ def publication_plan(pages: DataFrame, published: DataFrame, create_missing: boo
     return rows.select("slug", status.alias("status"))
 
 
+def part_numbers(sizes, limit: int) -> list[int]:
+    """The part of each file, in order: a part closes when the next file doesn't fit."""
+    parts, part, held = [], -1, 0
+    for size in sizes:
+        if part < 0 or held + size > limit:
+            part, held = part + 1, 0
+        held += size
+        parts.append(part)
+    return parts
+
+
 def zip_groups(files: DataFrame, limit: int = 300 << 20) -> DataFrame:
-    """Files (pos, size) to upload parts of at most ``limit`` bytes, in order, by the running sum."""
-    from pyspark.sql.window import Window
+    """Files (source, pos, size) to upload parts of at most ``limit`` bytes: in order, each part as many files as fit;
+    a larger file is a part of its own. Greedy, so it is a fold over one source's sizes."""
+
+    @F.pandas_udf("array<int>")
+    def numbers(sizes: pd.Series) -> pd.Series:
+        return sizes.map(lambda x: part_numbers(x, limit))
 
-    return files.withColumn("part", F.floor(F.sum("size").over(Window.partitionBy("source").orderBy("pos")) / F.lit(limit)).cast("int"))
+    listed = files.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("pos", "size"))).alias("files"))
+    parts = listed.withColumn("part", numbers(F.transform("files", lambda f: f["size"].cast("long"))))
+    return parts.select("source", F.inline(F.arrays_zip("files", "part"))).select("source", "files.pos", "files.size", "part")

@@ -26,15 +26,25 @@ SHOP = re.compile(
     r"|purchase|checkout|wishlist|compare.?block|callback|feedback.?form|links.?right|promo.?banner|action.?button|cta"
     r"|review|rating|stars|отзыв|рейтинг|recommend|similar.?product|recently.?viewed|also.?bought|related.?product|accessories"
 )
-#: Phrases of shop texts, a selection of the commonest kinds: orders, prices, delivery, contacts, reviews, notices.
+#: Phrases of shop texts: orders, prices, delivery, contacts, reviews, notices.
 SHOP_PHRASES = (
     r"(?iu)пришлите заявку|добавить в корзину|купить сейчас|в корзину|оформить заказ|рассчитать доставку|минимальная сумма заказа|самовывоз"
-    r"|способ[ыь]? оплаты|гарантия\s*[-–—]\s*\d+|отправить заявку|закажите звонок|обратный звонок|от \d+ руб|от \d+ дн|add to cart|buy now"
-    r"|доставим в[:\s]|транспортной компанией|курьером|\d+ товар[ов]*$|^гарантия$|^цена\b|^цены на\b|^скидк|^акци[яи]$"
-    r"|8[\s-]?800[\s-]?\d{3}[\s-]?\d{2}[\s-]?\d{2}|\+7[\s-]?\(?\d{3}\)?[\s-]?\d{3}[\s-]?\d{2}[\s-]?\d{2}|электронной почте\s+\S+@\S+"
-    r"|\d[\d\s]+₽|рекомендованная розничная цена|базовая цена\s*\d|по цене \d+ руб|\d[\d.]*\s+из\s+\d+\s+звезд|^recent reviews$|^customer reviews$"
-    r"|отзыв[оы]|^нет в наличии$|^узнать наличие$|^сравнить$|^избранное$|мы используем cookie|файлов cookie|рекомендательные технологии"
-    r"|^вы недавно смотрели$|^с этим товаром покупают$|^рекомендуем вам$"
+    r"|конкурентный счет|предложим лучшую цену|способ[ыь]? оплаты|гарантия\s*[-–—]\s*\d+|ответ в течение|подберите товар с менеджером"
+    r"|отправить заявку|закажите звонок|заказать обратный звонок|от \d+ руб|от \d+ дн|add to cart|buy now|доставим в[:\s]"
+    r"|транспортной компанией|курьером|огромный выбор|качество по госту|\d+ товар[ов]*$|^гарантия$|^цена\b|^цены на\b|^скидк|^акци[яи]$"
+    r"|нужна помощь в выборе|помощь в выборе|наши менеджеры|свяжитесь с нами|задать вопрос менеджеру|помочь вам по телефону|обратный звонок"
+    r"|написать менеджеру|связаться с менеджером|8[\s-]?800[\s-]?\d{3}[\s-]?\d{2}[\s-]?\d{2}"
+    r"|\+7[\s-]?\(?\d{3}\)?[\s-]?\d{3}[\s-]?\d{2}[\s-]?\d{2}|электронной почте\s+\S+@\S+|\d[\d\s]+₽|рекомендованная розничная цена"
+    r"|базовая цена\s*\d|купить данный товар .+ по цене|по цене \d+ руб|по привлекательной цене|\d[\d.]*\s+из\s+\d+\s+звезд"
+    r"|^recent reviews$|^customer reviews$|отзыв[оы]|^нет в наличии$|^узнать наличие$|^узнать статус заказа$"
+    r"|сроки готовности товара указаны в .+ корзине|^в упаковке:$|^доступно$|^упак\.$|^по убыванию$|^по возрастанию$|^сравнить$"
+    r"|^избранное$|изображение является справочным|на главном складе|групповая упаковка \d+ шт|в ассортименте интернет-магазина"
+    r"|оформить и оплатить заказ можно|условия продажи, доставки и цены|рекомендуем ознакомиться с описанием|мы используем cookie"
+    r"|вы соглашаетесь .+ метрических программ|на нашем сайте используются|рекомендательные технологии|файлов cookie"
+    r"|официальный дилер продукции|товар с гарантией производителя|^где забрать\?$|^как оплатить\?$|правила оплаты банковской картой"
+    r"|^б/н расчет|^вы недавно смотрели$|^последние просмотренные|^аналоги и похожие товары$|^с этим товаром покупают$"
+    r"|^вам могут понадобиться$|^рекомендуем вам$|^популярные товары в категории$|^справочник по гостам, снипам, остам"
+    r"|скачать документ бесплатно|не нашли на портале нужный вам документ|разместите нашу кнопку на своем сайте|^html-код:$|gostinform\.ru"
 )
 REVIEW_DATE = r"(?iu)^(янв|февр|март|апр|май|июн|июл|авг|сент|окт|нояб|дек)\S*\s+\d{4}\s*г?\.\s*$"
 

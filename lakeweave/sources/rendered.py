@@ -14,9 +14,23 @@ from pyspark.sql import functions as F
 
 from lakeweave.sources.markup import SHOP_PHRASES, drop_shop_blocks
 
-#: Single lines of navigation, prices and delivery, footers, related products and shop filler (a selection of each kind).
-NAVIGATION = re.compile(r"(?i)^(каталог|корзина|избранное|войти|меню|заказы|сравнить|поделиться|ещё|назад|магазины|распродажа|акции|новинки|показать ещё|загрузить ещё|читать далее|в корзину|политика|cookie|подписаться|наверх|закрыть|найти|сервисы|вакансии|о нас|о компании|новости|аналоги|описание|детали|характеристики|отзывы|вопросы|сертификаты|штука|похожие)$")
-PRICES = re.compile(r"(?i)^\d[\d\s]*₽$|^от\s+\d|^\d+\s*(шт|руб|р\.|₽)|^доставк|^самовывоз|^привезем|^наличие|^в наличии|^нет в наличии|^под заказ|^рассрочк|^доставим|^при заказе|^круглосуточно")
+#: Single lines of navigation, prices and delivery, footers, related products and shop filler.
+NAVIGATION = re.compile(
+    r"(?i)^(каталог|корзина|избранное|войти|меню|заказы|сравнить|поделиться|ещё|назад|магазины|распродажа|акции|новинки|показать ещё"
+    r"|загрузить ещё|читать далее|нашли дешевле|в корзину|в избранное|в смету|сравнить|©|политика|cookie|подписаться|рассылк|наверх"
+    r"|скачать приложение|закрыть|стройматериалы|инструмент|финишная отделка|товары для дома|сантехника|крепеж|сад и досуг"
+    r"|инженерные системы|найти|сервисы|сметы|вакансии|о нас|о компании|новости|история компании|пресс-служба|служба поддержки"
+    r"|подарочные|клуб друзей|мы принимаем к оплате|мобильные приложения|отсканируйте|биржа профессионалов|петрович b2b|возврат товара"
+    r"|для юридических лиц|распил|колеровка|аренда инструмента|переборка|расчет материалов|установка дверей|укладка|замер"
+    r"|приемка квартир|помощник по дизайну|программы лояльности|b2b|зарегистрировать карту|каталог призов|аналоги|популярно в категории"
+    r"|вам могут понадобиться|сопутствующие предложения|доставка и подъем|описание|детали|характеристики|отзывы|вопросы|сертификаты"
+    r"|штуку|штука|цена за|код:|похожие|на нашем сайте используются|рекомендательные технологии|соглашаетесь на использование|файлов cookie)$"
+)
+PRICES = re.compile(
+    r"(?i)^\d[\d\s]*₽$|^от\s+\d|^\d+\s*(шт|руб|р\.|₽)|^доставк|^самовывоз|^привезем|^наличие|^в наличии|^нет в наличии|^под заказ|^долями"
+    r"|^плати частями|^рассрочк|^доставим|^если мы опоздали|^при заказе|^круглосуточно|^товар на складе|^\d+\s*шт$|^делите стоимость"
+    r"|^сейчас\s+\d|^\d+/\d+\s+в\s+\d|оставаясь на сайте"
+)
 FOOTER = re.compile(r"(?i)^(о компании|покупателям|контакты|© \d{4}|при полном или частичном)$")
 RELATED = re.compile(r"(?i)вам могут понадобиться|сопутствующие|похожие товары|с этим товаром|рекомендуем также|популярно в категории|аналоги|покупают вместе|вы смотрели|недавно просмотренные|вас может заинтересовать")
 FILLER = re.compile(r"(?i)в ассортименте (интернет-)?магазина|оформить и оплатить заказ|условия продажи|можно купить с доставкой|рекомендуем ознакомиться с описанием|доступны по привлекательной цене")
@@ -47,7 +61,7 @@ def rendered_blocks(text: str) -> list[str]:
         elif RELATED.search(line):
             close()
             related = True
-        elif FILLER.search(line) or NAVIGATION.match(line) or PRICES.match(line) or SHOP.search(line) or (len(line) < 30 and line.startswith("—")):
+        elif FILLER.search(line) or NAVIGATION.match(line) or PRICES.search(line) or SHOP.search(line) or (len(line) < 30 and line.startswith("—")):
             continue
         else:
             begun = begun or len(line) > 40

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 def settled(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:  # tests on one machine
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lakeweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -11,7 +11,7 @@ from lakeweave.operators import quality as Q
 from lakeweave.operators import search as J
 from lakeweave.operators import state as S
 from lakeweave.sources import discovery as D
-from lakeweave.sources import files, markup, office, tabular
+from lakeweave.sources import files, markup, office, rendered, tabular
 from lakeweave.streaming import queue
 
 
@@ -217,3 +217,28 @@ def test_queue(spark, tmp_path):
     drain()  # goes on from its checkpoint
     assert seen == want
     assert {r.state: r.active for r in queue.queue_stats(queue.final_states(events)).collect()} == {"failed": 0, "completed": 0, "pending": 1}
+
+
+def test_upload_parts_never_exceed_the_limit(spark):
+    rows = [("a", i, n) for i, n in enumerate([5, 9, 5, 4, 1, 30, 2])] + [("b", 0, 3)]
+    got = files.zip_groups(spark.createDataFrame(rows, "source string, pos int, size long"), 10).orderBy("source", "pos").collect()
+    assert [r.part for r in got] == [0, 1, 2, 2, 2, 3, 4, 0]
+
+
+def test_crawl_numbers_links_of_wide_levels(spark):
+    """Chained pages with the default policy; include filters the result and not the traversal."""
+    pages = [(f"http://s.org/p{i}", "".join(f'<a href="/p{j}">x</a>' for j in range(2 * i + 1, 2 * i + 3))) for i in range(40)]
+    web = spark.createDataFrame(pages, "url string, body string")
+    got, left = D.crawl(web, ["http://s.org/p0", "http://s.org/p1"], D.CrawlPolicy(max_depth=6, include=("*/p?[02468]", "*/p[02468]")))
+    urls = [r.url for r in got.orderBy("depth", "pos").collect()]
+    assert urls == [f"http://s.org/p{i}" for i in range(0, 40, 2)]
+    assert {r.reason for r in left.collect()} == {"include", "missing"}
+    cut, left = D.crawl(web, ["http://s.org/p0"], D.CrawlPolicy(max_links=1))
+    assert {r.url for r in cut.collect()} == {"http://s.org/p0", "http://s.org/p1", "http://s.org/p3", "http://s.org/p7"}
+    assert {r.reason: r.n for r in left.collect()} == {"links truncated": 4}
+
+
+def test_whole_phrase_lists(spark):
+    blocks = spark.createDataFrame([(1, i, t) for i, t in enumerate(["Кабель силовой", "Огромный выбор товаров", "на главном складе 5 шт", "Помощь в выборе", "скачать документ бесплатно"])], "k int, pos int, text string")
+    assert [r.text for r in markup.drop_shop_blocks(blocks, "k").collect()] == ["Кабель силовой"]
+    assert rendered.rendered_blocks("Долями по 500\nсервисы\nКлуб друзей\n" + "Описание изделия, которое длиннее сорока знаков") == ["Описание изделия, которое длиннее сорока знаков"]
