@@ -145,6 +145,38 @@ def select_strategy(elements: DataFrame, hints: DataFrame) -> DataFrame:
     return hints.join(n, "doc_id", "left").select("doc_id", "format_hint", F.coalesce("n", F.lit(0)).alias("n"), chosen.alias("strategy"))
 
 
+def split_text(text: Column, max_tokens: int = 512, overlap: int = 50) -> Column:
+    """Windows of a text, as an array."""
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: folds.split_chars(t or "", max_tokens, overlap))
+
+    return cut(text)
+
+
+def split_rows(text: Column, max_tokens: int = 1536, header_lines: int = 1) -> Column:
+    """Groups of a table's rows under its header, as an array."""
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: folds.split_rows(t or "", max_tokens, header_lines))
+
+    return cut(text)
+
+
+def compare_strategies(elements: DataFrame, strategies: tuple[str, ...], **options) -> DataFrame:
+    """A token report by strategy; each strategy runs on the same elements."""
+    from lakeweave.operators.quality import token_report
+
+    built = {"row_level": row_level, "row_group": row_group}
+    kinds = [(built[s](elements) if s in built else chunk_elements(elements, s, **options)).select(F.lit(s).alias("strategy"), "token_count") for s in strategies]
+    union = kinds[0]
+    for k in kinds[1:]:
+        union = union.unionByName(k)
+    return token_report(union.withColumn("chunk_type", F.lit("text")), "strategy")
+
+
 @udtf(returnType="part int, text string")
 class SplitText:
     """K16 as a table function: split_text(text, max_tokens, overlap)."""

@@ -47,6 +47,16 @@ def delete_rows(rows: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFr
     return rows.join(keys.select(on).distinct(), on, "left_anti"), rows.join(keys.select(on).distinct(), on, "left_semi")
 
 
+def delete_cascade(keys: DataFrame, tables: list[tuple[str, DataFrame, str, str]]) -> dict[str, DataFrame]:
+    """Tables (name, rows, key of the owner, own key) without what belongs to the deleted keys, each table's rows
+    belonging to those of the table before it."""
+    out, gone = {}, keys.select(F.col(keys.columns[0]).alias("gone_")).distinct()
+    for name, rows, owner, own in tables:
+        out[name] = rows.join(gone, rows[owner] == gone["gone_"], "left_anti")
+        gone = rows.join(gone, rows[owner] == gone["gone_"], "left_semi").select(F.col(own).alias("gone_")).distinct()
+    return out
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, sticky: tuple[str, ...] = ("approved", "rejected")) -> DataFrame:
     """New rows replace old ones, but rows with a sticky status stay as they are (tables have key, status, score)."""
     joined = old.alias("o").join(new.alias("n"), key, "full")

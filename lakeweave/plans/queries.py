@@ -40,10 +40,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(cores) if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores else df
 
 
-def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents as chunks (doc_id, chunk_index, text)."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
-    return rows.select("doc_id", F.col("pos").alias("chunk_index"), T.normalize_text("line").alias("text")).where("text <> ''")
+def line_chunks(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Lines of documents as chunks (doc_id, chunk_index, text), with more columns of theirs."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", *more, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
+    return rows.select("doc_id", *more, F.col("pos").alias("chunk_index"), T.normalize_text("line").alias("text")).where("text <> ''")
 
 
 def conversation_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,12 +236,6 @@ def a7_anchors(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.posexplode(U.anchors("html")).alias("pos", "href"))
 
 
-@query(f"WITH h AS (SELECT page_id, {_HREFS} AS hs FROM pages) SELECT page_id, len(hs) AS links, len(list_filter(hs, lambda x: regexp_matches(lower(x), '\\.(pdf|doc|docx|xls|xlsx|html|htm|xml)($|\\?)'))) AS file_links FROM h")
-def g16_link_counts(spark, sf_dir):
-    hs = U.anchors("html")
-    return table(spark, sf_dir, "pages").select("page_id", F.size(hs).cast("long").alias("links"), F.size(F.filter(hs, lambda x: F.lower(x).rlike(r"\.(pdf|doc|docx|xls|xlsx|html|htm|xml)($|\?)"))).cast("long").alias("file_links"))
-
-
 @query()
 def x2_html_blocks(spark, sf_dir):
     return markup.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html")
@@ -302,9 +296,10 @@ def g4_gate_dataset(spark, sf_dir):
 
 
 @query(f"{_GATE} SELECT source, count(*) AS docs, count(*) FILTER (findings = '') AS passed, CAST(sum(chunk_count) AS BIGINT) AS chunks, CAST(sum(total_tokens) AS BIGINT) AS tokens FROM q JOIN documents USING (doc_id) GROUP BY source")
-def g9_source_rollup(spark, sf_dir):
-    gate = Q.quality_gate(line_chunks(spark, sf_dir)).join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
-    return gate.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.count_if("passed").alias("passed"), F.sum("chunk_count").alias("chunks"), F.sum("total_tokens").alias("tokens"))
+def g2_source_rollup(spark, sf_dir):
+    """The gate's key carries the source, so that documents are read once."""
+    gate = Q.quality_gate(line_chunks(spark, sf_dir, "source").withColumn("doc_id", F.struct("doc_id", "source")))
+    return gate.groupBy(F.col("doc_id.source").alias("source")).agg(F.count(F.lit(1)).alias("docs"), F.count_if("passed").alias("passed"), F.sum("chunk_count").alias("chunks"), F.sum("total_tokens").alias("tokens"))
 
 
 @query(rf"""WITH {_LINES}, t AS (SELECT source, CASE WHEN contains(chunks.text, '|') THEN 'table' ELSE 'text' END AS ty, {_TOKENS.format("chunks.text")} AS n FROM chunks JOIN documents USING (doc_id)),
@@ -341,11 +336,6 @@ def j12_exact_dedup(spark, sf_dir):
     return S.exact_dedup(table(spark, sf_dir, "documents"), "text", "doc_id").select("doc_id", "source")
 
 
-@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
-def j12_not_processed(spark, sf_dir):
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti").select("doc_id", "source")
-
-
 @query(
     """WITH e AS (SELECT user_id % 50 AS prefix, event_id AS pos, event_type <> 'view' AS failed FROM events),
 r AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER (PARTITION BY prefix ORDER BY pos) AS run FROM e),
@@ -428,10 +418,10 @@ def j2_neighbour_similarity(spark, sf_dir):
 
 
 @query(
-    """SELECT item_id, CAST(round(1e6 * list_sum(list_transform(range(0, 64), lambda i: (i + 1) * ((16 * (instr('0123456789abcdef', substr(sha256(text), CAST((i % 32) * 2 + 1 AS INT), 1)) - 1) + instr('0123456789abcdef', substr(sha256(text), CAST((i % 32) * 2 + 2 AS INT), 1)) - 1) / 255.0 * 2 - 1)))) AS BIGINT) AS digest FROM benchmark"""
+    """SELECT item_id, CAST(round(1e6 * list_sum(list_transform(range(0, 1024), lambda i: (i + 1) * ((16 * (instr('0123456789abcdef', substr(sha256(text), CAST((i % 32) * 2 + 1 AS INT), 1)) - 1) + instr('0123456789abcdef', substr(sha256(text), CAST((i % 32) * 2 + 2 AS INT), 1)) - 1) / 255.0 * 2 - 1)))) AS BIGINT) AS digest FROM benchmark"""
 )
 def j20_fake_embedding(spark, sf_dir):
-    e = J.fake_embedding(F.col("text"), 64)
+    e = J.fake_embedding(F.col("text"))
     weighed = F.aggregate(F.transform(e, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
     return table(spark, sf_dir, "benchmark").select("item_id", F.round(1e6 * weighed).cast("long").alias("digest"))
 
@@ -515,20 +505,6 @@ def k15_structured_chunks(spark, sf_dir):
     return K.chunk_elements(conversation_elements(spark, sf_dir), "structure_aware")
 
 
-@query()
-def k16_split_text(spark, sf_dir):
-    K.register_splitters(spark)
-    table(spark, sf_dir, "documents").createOrReplaceTempView("split_documents")
-    return spark.sql("SELECT doc_id, s.part, s.text FROM split_documents, LATERAL split_text(text, 512, 50) s")
-
-
-@query()
-def k17_split_rows(spark, sf_dir):
-    K.register_splitters(spark)
-    table(spark, sf_dir, "documents").createOrReplaceTempView("split_documents")
-    return spark.sql("SELECT doc_id, s.part, s.text FROM split_documents, LATERAL split_rows(text, 512, 1) s")
-
-
 @query("WITH n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) SELECT conv_id AS doc_id, CASE WHEN conv_id % 2 = 0 THEN 'tabular' ELSE 'document' END AS format_hint, n, CASE WHEN conv_id % 2 = 1 THEN 'structure_aware' WHEN n < 50 THEN 'row_level' ELSE 'hierarchical' END AS strategy FROM n")
 def k18_select_strategy(spark, sf_dir):
     elements = conversation_elements(spark, sf_dir)
@@ -561,31 +537,15 @@ def q4_timeouts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.timeout_seconds(name, F.col("page_id") * 100, F.col("page_id")).alias("seconds"))
 
 
-@query()
-def a5_crawl(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("url", F.col("html").alias("body"))
-    seeds = [r.url for r in pages.orderBy("url").limit(5).collect()]
-    return D.crawl(pages, seeds, D.CrawlPolicy(max_pages=100, max_depth=2))[0]
-
-
 @query(rf"""WITH d AS (SELECT DISTINCT {_DOMAIN.format("url")} AS x FROM pages) SELECT DISTINCT url FROM pages""")
 def a15_merged_urls(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return D.merged_urls(pages.where("page_id % 2 = 0"), pages)
 
 
-@query(
-    """SELECT l_returnflag, l_linestatus, CAST(sum(l_quantity) AS BIGINT) AS sum_qty, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL"""
-)
-def extension_pricing_summary(spark, sf_dir):
-    """An extension: the reference has no such tables."""
-    rows = table(spark, sf_dir, "lineitem").where("l_shipdate <= TIMESTAMP '1998-09-02'")
-    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").cast("long").alias("sum_qty"), F.count(F.lit(1)).alias("n"))
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship: lines of documents through the quality gate, rolled up by source."""
-    return g9_source_rollup(spark, "/root/testdata/sf0.001")
+    return g2_source_rollup(spark, "/root/testdata/sf0.001")
 
 
 

@@ -81,6 +81,43 @@ def sitemap_pages(web: DataFrame, starts: list[str], max_sitemaps: int = 20, lim
     return first.limit(limit) if limit is not None else first
 
 
+def sitemap_urls(web: DataFrame, starts: list[str], max_sitemaps: int = 20) -> DataFrame:
+    """A3: the sorted set of URLs in sitemaps of any origin."""
+    return sitemap_pages(web, starts, max_sitemaps, same_origin=False).select("uri").distinct().orderBy("uri")
+
+
+def sitemap_starts(web: DataFrame, root: str) -> list[str]:
+    """A2: the sitemaps that a site's robots.txt names, or else its /sitemap.xml."""
+    base = root.rstrip("/")
+    named = robots_sitemaps(web.where(F.col("url") == f"{base}/robots.txt")).limit(100).collect()
+    return [r.loc for r in named] or [f"{base}/sitemap.xml"]
+
+
+def unpacked(artifacts: DataFrame, max_bytes: int = 50 << 20) -> DataFrame:
+    """A2: bodies (url, body) of sitemap files (url, content), gzip or plain; what is broken or larger than max_bytes is dropped."""
+    import zlib
+
+    import pandas as pd
+
+    def inflate(frames):
+        for pdf in frames:
+            out = []
+            for url, content in zip(pdf["url"], pdf["content"], strict=True):
+                if content is not None and content[:2] == b"\x1f\x8b":
+                    unzip = zlib.decompressobj(31)
+                    try:
+                        content = unzip.decompress(content, max_bytes + 1)
+                    except zlib.error:
+                        continue
+                    if not unzip.eof:
+                        continue
+                if content is not None and len(content) <= max_bytes:
+                    out.append((url, bytes(content).decode("utf-8", "replace")))
+            yield pd.DataFrame(out, columns=["url", "body"])
+
+    return artifacts.select("url", "content").mapInPandas(inflate, "url string, body string")
+
+
 def filter_pages(urls: DataFrame, root: str, *tests: Column) -> DataFrame:
     """A4: same domain, no documents and media; further tests on column url."""
     kept = urls.where((U.domain("url") == U.domain(F.lit(root))) & ~U.path("url").rlike(U.SITEMAP_SKIP))

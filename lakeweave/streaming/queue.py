@@ -39,15 +39,14 @@ def retry_states(events: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame
 
     def step(key, frames, state: GroupState):
         name, retries = state.get if state.exists else ("pending", 0)
-        for pdf in frames:
-            for event in pdf.sort_values("at")["event"]:
-                if name in ("completed", "failed", "cancelled"):
-                    break
-                if event == "failed":
-                    retries += 1
-                    name = "failed" if retries > max_retries else "pending"
-                elif event in ("completed", "cancelled"):
-                    name = event
+        for event in pd.concat(list(frames)).sort_values(["at", "event"])["event"]:
+            if name in ("completed", "failed", "cancelled"):
+                break
+            if event == "failed":
+                retries += 1
+                name = "failed" if retries > max_retries else "pending"
+            elif event in ("completed", "cancelled"):
+                name = event
         state.update((name, retries))
         yield pd.DataFrame({"task_id": [key[0]], "state": [name], "retries": [retries]})
 
