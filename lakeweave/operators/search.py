@@ -57,9 +57,15 @@ def retrieval_scores(questions: DataFrame, chunks: DataFrame, top_k: int = 5) ->
     asked = questions.select("id", "expected", F.array_distinct(F.concat(T.search_tokens("question"), F.flatten(F.transform("expected", T.search_tokens)))).alias("terms"))
     postings = chunks.select("chunk_id", F.explode(F.array_distinct(T.search_tokens("text"))).alias("term"))
     shared = asked.select("id", F.explode("terms").alias("term")).join(postings, "term").groupBy("id", "chunk_id").agg(F.count(F.lit(1)).alias("overlap"))
-    lost = asked.join(shared.select("id").distinct(), "id", "left_anti")
+    # A chunk gets 3 points at most for each expected term, so one whose overlap lies further below the k-th largest can't be
+    # among the best; texts are fetched for the others only.
+    best = shared.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("overlap")))).where(F.col("place") <= top_k)
+    least = best.groupBy("id").agg(F.min("overlap").alias("least"), F.max("place").alias("found")).join(asked.select("id", F.size("expected").alias("n")), "id")
+    floor = least.select("id", F.when(F.col("found") == top_k, F.col("least") - 3 * F.col("n")).otherwise(0).alias("floor"))
+    shared = shared.join(floor, "id").where("overlap >= floor").select("id", "chunk_id", "overlap")
+    lost = asked.join(floor, "id", "left_anti")
     # A question without shared terms scores by its expected terms as substrings.
-    rest = lost.select("id", F.explode("expected").alias("e")).join(chunks.select("chunk_id", F.lower("text").alias("low")), F.expr("low LIKE concat('%', lower(e), '%')")).select("id", "chunk_id").distinct().withColumn("overlap", F.lit(0).cast("long"))
+    rest = lost.select("id", F.explode("expected").alias("e")).join(chunks.select("chunk_id", F.lower("text").alias("low")), F.expr("contains(low, lower(e))")).select("id", "chunk_id").distinct().withColumn("overlap", F.lit(0).cast("long"))
     rows = shared.unionByName(rest).join(asked.select("id", "expected"), "id").join(chunks, "chunk_id")
     hits = F.size(F.filter("expected", lambda e: F.contains(F.lower("text"), F.lower(e))))
     rows = rows.withColumn("hits", hits).withColumn("score", F.col("overlap") + 3 * F.col("hits")).where("score > 0")

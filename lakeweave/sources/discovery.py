@@ -183,6 +183,59 @@ def crawl(web: DataFrame, seeds: list[str] | DataFrame, policy: CrawlPolicy) ->
     return both(out), both(left).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Files that a crawl for files takes, and those that it takes on a weak score as well.
+FILE_URL_IN_TEXT = r"(?i)(https?://[^\s\"'<>]+\.(?:pdf|docx?|xlsx?|html?|xml)(?:\?[^\s\"'<>]*)?)"
+ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)[^>]*>.*?</a>"""
+WEAK_EXTENSIONS = r"(?i)\.(pdf|doc|docx|xls|xlsx|xml|html|htm)(\?|$)"
+
+
+def file_links(pages: DataFrame, terms: tuple[str, ...] = (), anti_terms: tuple[str, ...] = (), least: int = 1) -> DataFrame:
+    """URLs of files that pages (url, body) link to or spell out, with the texts of all their anchors. A URL and its texts
+    have to score ``least``, or with a weak extension not below 0; without terms all stay. Sorted by URL."""
+    tags = pages.select("url", F.explode(F.regexp_extract_all("body", F.lit(ANCHOR), F.lit(0))).alias("tag"))
+    href = F.regexp_replace(F.regexp_extract("tag", r"""(?is)\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1), "^[\"']|[\"']$", "")
+    said = T.strip(F.regexp_replace(F.regexp_replace("tag", "<[^>]+>", " "), r"\s+", " "))
+    linked = tags.select(U.resolve(F.col("url"), href).alias("file"), F.col("url").alias("page"), said.alias("said"))
+    linked = linked.where(F.col("file").rlike("^https?://") & U.is_file_link("file"))
+    spelled = pages.select(F.explode(F.regexp_extract_all("body", F.lit(FILE_URL_IN_TEXT), F.lit(1))).alias("file"), F.col("url").alias("page"), F.lit("").alias("said"))
+    texts = F.array_join(F.array_sort(F.filter(F.collect_set("said"), lambda t: t != "")), " ")
+    found = linked.unionByName(spelled).groupBy("file").agg(texts.alias("anchor_text"), F.count_distinct("page").alias("pages"))
+    if not terms:
+        return found.orderBy("file")
+    score = T.term_score(F.concat("file", F.lit(" "), "anchor_text"), terms, anti_terms)
+    scored = found.withColumn("score", score)
+    return scored.where((F.col("score") >= least) | ((F.col("score") >= 0) & F.col("file").rlike(WEAK_EXTENSIONS))).orderBy("file")
+
+
+def catalogue(web: DataFrame, root: str, state: str, levels: int = 50, skip_leaves: bool = True) -> DataFrame:
+    """Pages below the root's path that a crawl of the fetched pages (url, body) reaches. ``state`` is a folder of tables,
+    one for each level of the crawl: (url, fresh), where fresh pages are those whose links come next. A crawl that was cut off goes on
+    at the last whole level; leaf pages (not listings) are found but not opened."""
+    spark = web.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(state).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = lambda n: fs.exists(hadoop(f"{state}/level={n}/_SUCCESS"))
+    start = next((n for n in range(levels, -1, -1) if done(n)), -1)
+    table = lambda n: spark.read.schema("url string, fresh boolean").parquet(f"{state}/level={n}")
+    if start < 0:
+        spark.createDataFrame([(root,)], "raw string").select(U.canonical("raw").alias("url"), F.lit(True).alias("fresh")).write.mode("overwrite").parquet(f"{state}/level=0")
+        start = 0
+    pages = web.select(U.canonical("url").alias("url"), "body").where("url IS NOT NULL").dropDuplicates(["url"])
+    for n in range(start, levels):
+        known = table(n)
+        opened = known.where("fresh")
+        if n and skip_leaves:
+            opened = opened.where(U.is_listing("url"))
+        links = opened.join(pages, "url").select(F.explode(U.anchors("body")).alias("href"), F.col("url").alias("base"))
+        found = links.select(U.canonical(U.resolve(F.col("base"), F.col("href"))).alias("url")).where("url IS NOT NULL").distinct()
+        found = found.where((U.domain("url") == U.domain(F.lit(root))) & U.is_under(F.lit(root), "url") & U.is_content("url"))
+        new = found.join(known, "url", "left_anti").withColumn("fresh", F.lit(True))
+        known.select("url", F.lit(False).alias("fresh")).unionByName(new).write.mode("overwrite").parquet(f"{state}/level={n + 1}")
+        if table(n + 1).where("fresh").isEmpty():
+            break
+    return table(next(n for n in range(levels, -1, -1) if done(n))).select("url")
+
+
 def mined_sources(texts: DataFrame) -> DataFrame:
     """URLs and bare domains in texts (text), sorted and distinct, without denied domains."""
     whole = texts.select(F.explode(F.regexp_extract_all("text", F.lit(URL_IN_TEXT), F.lit(0))).alias("raw")).select(F.regexp_replace(F.regexp_replace(F.regexp_replace("raw", "[.,;]+$", ""), "[?#].*$", ""), "/+$", "").alias("url"))

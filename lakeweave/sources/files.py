@@ -42,16 +42,19 @@ def units(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chunk_files(spark: SparkSession, root: str) -> DataFrame:
-    """Minimal chunks below a root, or else full ones; empty texts are skipped."""
+    """Minimal chunks below a root, at any depth, or else full ones; empty texts are skipped."""
+    schema = "document string, section string, page int, chunk_index int, text string, token_count int"
+    rows = spark.read.option("multiLine", True).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").schema(schema).json(root).withColumn("file", F.col("_metadata.file_path"))
     for kind in ("chunks_minimal", "chunks"):
-        try:
-            rows = spark.read.option("multiLine", True).option("recursiveFileLookup", "true").schema("document string, section string, page int, chunk_index int, text string, token_count int").json(f"{root}/*/{kind}")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            continue
-        return rows.where(F.length(T.strip(F.coalesce("text", F.lit("")))) > 0)
-    return spark.createDataFrame([], "document string, section string, page int, chunk_index int, text string, token_count int")
+        found = rows.where(F.col("file").rlike(f"/{kind}/[^/]+$") & (F.length(T.strip(F.coalesce("text", F.lit("")))) > 0)).drop("file")
+        if not found.isEmpty():
+            return found
+    return rows.drop("file").limit(0)
+
+
+def posting_lists(chunks: DataFrame) -> DataFrame:
+    """An inverted index of chunks (chunk_id, text): for each word the chunks that hold it."""
+    return chunks.select("chunk_id", F.explode(F.array_distinct(T.search_tokens("text"))).alias("term"))
 
 
 def logs(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Office files to blocks with the standard library: DOCX and XLSX are ZIP archives of XML. PDF needs a library that may be missing."""
+"""Office files to blocks with the standard library: DOCX and XLSX are ZIP archives of XML; PDFs by ``pdf``."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeweave.sources import pdf
+
 MAX_BYTES, MAX_BLOCKS = 100 << 20, 10_000
 BLOCKS = "uri string, pos int, text string, kind string, page int, section string, error string"
 
@@ -107,16 +109,12 @@ def xlsx_blocks(content: bytes) -> list[tuple[str, str, str]]:
     return out
 
 
-def pdf_blocks(content: bytes) -> list[tuple[str, str, str]]:
-    """Paragraphs of a digital PDF, if a PDF library is installed."""
+def pdf_blocks(content: bytes, max_pages: int = 1000) -> list[tuple[str, str, str, int]]:
+    """Paragraphs of a digital PDF with their pages."""
     try:
-        from pypdf import PdfReader
-    except ImportError:
-        raise Refused("no PDF library") from None
-    texts = [(p.extract_text() or "").strip() for p in PdfReader(io.BytesIO(content)).pages[:1000]]
-    if not any(texts):
-        raise Refused("ocr_required")
-    return [(b.strip(), "text", "") for t in texts for b in re.split(r"\n\s*\n", t) if b.strip()]
+        return [(text, "text", "", page) for text, page in pdf.paragraphs(content, max_pages)]
+    except pdf.BadPdf as e:
+        raise Refused(str(e)) from None
 
 
 READERS = {"docx": docx_blocks, "xlsx": xlsx_blocks, "pdf": pdf_blocks}
@@ -126,11 +124,11 @@ def office_blocks(files: DataFrame) -> DataFrame:
     """Blocks of files (uri, extractor, content); what can't be read is a row with an error, never a failed task."""
 
     def read(frames):
-        for pdf in frames:
+        for frame in frames:
             rows = []
-            for uri, how, content in zip(pdf["uri"], pdf["extractor"], pdf["content"], strict=True):
+            for uri, how, content in zip(frame["uri"], frame["extractor"], frame["content"], strict=True):
                 try:
-                    rows += [(uri, i, t, k, None, s, None) for i, (t, k, s) in enumerate(READERS[how](bytes(content)))]
+                    rows += [(uri, i, t, k, page[0] if page else None, s, None) for i, (t, k, s, *page) in enumerate(READERS[how](bytes(content)))]
                 except (Refused, ElementTree.ParseError, KeyError, ValueError, IndexError) as e:
                     rows.append((uri, 0, None, None, None, None, str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["uri", "pos", "text", "kind", "page", "section", "error"]).astype({"page": "Int32"})
