@@ -41,11 +41,11 @@ from lakeweave.llm.hashing import word_hashes
 
 END = U(0x5BD1E995A3C59AC3)
 DISCOUNT = 0.75
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Distinct pairs or words that a task holds before it emits a run.
-RUN = 3_000_000
+RUN = 2_000_000
 #: Tokens for each shard.
-MASS = 4_000_000
+MASS = 1_000_000
 #: Files that a worker keeps open, and bytes of files that are not mapped.
 FILES, HELD = 512, 512 << 20
 #: Quantisation: steps for each unit of log10.
@@ -100,6 +100,17 @@ def collapse(c: np.ndarray, t: np.ndarray, counts: np.ndarray | None, width: int
     return c, t, back, n if counts is None else np.bincount(back, counts, len(c)).astype(np.int64)
 
 
+def merged(c: np.ndarray, t: np.ndarray, counts: np.ndarray | None, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``collapse``, without the places: less memory for what is only counted."""
+    if not len(c) or (int(c.max()) + 1) * width >= 2**64:
+        c, t, _, counts = collapse(c, t, counts, width)
+        return c, t, counts
+    keys = c.astype(np.uint64) * U(width) + t.astype(np.uint64)
+    keys, counts = np.unique(keys, return_counts=True) if counts is None else summed([keys], [counts])
+    c, t = np.divmod(keys, U(width))
+    return c.view(np.int64), t.view(np.int64), counts
+
+
 class Bounds:
     """Where the shards of a level begin: (context, token) pairs in order; shard 0 begins before them all."""
 
@@ -129,8 +140,8 @@ class Runs:
         self.bounds, self.held, self.n = bounds, [], 0
 
     def add(self, c: np.ndarray, t: np.ndarray):
-        c, t, _, counts = collapse(c, t, None, self.bounds.width)
-        self.held.append((c, t, counts))
+        c, t, counts = merged(c, t, None, self.bounds.width)
+        self.held.append((c, t, counts.astype(np.uint32)))
         self.n += len(c)
         if self.n >= RUN:
             yield from self.flush()
@@ -138,8 +149,10 @@ class Runs:
     def flush(self):
         if not self.n:
             return
-        c, t, _, counts = collapse(*(np.concatenate(x) for x in zip(*self.held, strict=True)), self.bounds.width)
+        parts = [np.concatenate(x) for x in zip(*self.held, strict=True)]
         self.held, self.n = [], 0
+        c, t, counts = merged(parts[0], parts[1], parts[2].astype(np.int64), self.bounds.width)
+        del parts
         part = self.bounds.locate(c, t)
         cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
         parts, keys, sums = [], [], []
@@ -153,8 +166,14 @@ RUNS = "part int, keys binary, counts binary"
 
 
 def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = [np.cumsum(unplanes(k, np.uint64), dtype=np.uint64) for k in table["keys"].to_pylist()]
-    return summed(keys, [unplanes(c, np.uint32).astype(np.int64) for c in table["counts"].to_pylist()])
+    """Distinct sorted keys and their summed counts of a shard's runs, merged a few at a time."""
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    for keys, counts in zip(table["keys"], table["counts"], strict=True):
+        done.append((np.cumsum(unplanes(keys.as_py(), np.uint64), dtype=np.uint64), unplanes(counts.as_py(), np.uint32).astype(np.int64)))
+        while len(done) > 1 and len(done[-2][0]) <= 2 * len(done[-1][0]):
+            last, before = done.pop(), done.pop()
+            done.append(summed([before[0], last[0]], [before[1], last[1]]))
+    return summed([k for k, _ in done], [c for _, c in done])
 
 
 def _stored(folder: str, name: str, arrays: dict[str, np.ndarray]) -> str:
@@ -170,9 +189,10 @@ def _named(prefix: str, sequence: EliasFano) -> dict[str, np.ndarray]:
 
 
 def cuts_of(counts: np.ndarray, target: int) -> np.ndarray:
-    """(node, pieces, count) where stretches of about ``target`` counts end; a node of more has several pieces."""
+    """(node, pieces, count) where stretches of at most about ``target`` counts begin: at the first node, and where the sums
+    pass a multiple; a node of more has several pieces."""
     sums = np.cumsum(counts)
-    at = np.unique(np.searchsorted(sums, np.arange(target, int(sums[-1]) if len(sums) else 0, target)))
+    at = np.unique(np.append(0, np.searchsorted(sums, np.arange(target, int(sums[-1]), target))))
     return np.stack((at, np.maximum(1, -(-counts[at] // target)), counts[at]), axis=1).astype(np.int64)
 
 
@@ -401,7 +421,8 @@ def _add_level(docs: DataFrame, trie: Trie, k: int, cuts: list[tuple[int, int, i
     def shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         keys, counts = _gathered(table)
         part = key[0].as_py()
-        own, t = (x.astype(np.int64) for x in np.divmod(keys, U(width)))
+        own, t = (x.view(np.int64) for x in np.divmod(keys, U(width)))
+        del keys
         start = bounds.start(part) + int(own[0])
         own -= own[0]
         n = int(own[-1]) + 1
@@ -413,10 +434,11 @@ def _add_level(docs: DataFrame, trie: Trie, k: int, cuts: list[tuple[int, int, i
         values = (np.cumsum(last) - last)[own] + t
         weights = np.full(n, 65535, np.uint16)
         weights[sizes > 0] = quantise(DISCOUNT * sizes[sizes > 0] / sums[sizes > 0])
-        arrays = _named("tokens.", EliasFano.build(values, int(values[-1]) + 1)) | _named("pointers.", EliasFano.build(pointers, len(keys) + 1))
-        arrays |= {"q": quantise((counts - DISCOUNT) / sums[own]), "weights": weights, "contexts": np.array([start, n], np.int64), "top": values[-1:].astype(np.uint64)}
+        arrays = {"q": quantise((counts - DISCOUNT) / sums[own]), "weights": weights, "contexts": np.array([start, n], np.int64), "top": values[-1:].astype(np.uint64)}
+        del own, t
+        arrays |= _named("pointers.", EliasFano.build(pointers, len(values) + 1)) | _named("tokens.", EliasFano.build(values, int(values[-1]) + 1))
         file = _stored(folder, f"level{k}-{part:06d}", arrays)
-        return pa.table({"part": pa.array([part], pa.int32()), "file": [file], "n": pa.array([len(keys)]), "widest": pa.array([int(sizes.max())]), "heavy": pa.array([start if start in heavy else None], pa.int64()), "cuts": pa.array([cuts_of(counts, target).tobytes()], pa.binary())})
+        return pa.table({"part": pa.array([part], pa.int32()), "file": [file], "n": pa.array([len(counts)]), "widest": pa.array([int(sizes.max())]), "heavy": pa.array([start if start in heavy else None], pa.int64()), "cuts": pa.array([cuts_of(counts, target).tobytes()], pa.binary())})
 
     made = docs.mapInArrow(count, RUNS).groupBy("part").applyInArrow(shard, "part int, file string, n long, widest long, heavy long, cuts binary").collect()
     split: dict[int, tuple[int, int]] = {}
