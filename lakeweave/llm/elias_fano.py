@@ -8,6 +8,7 @@ import numpy as np
 
 U = np.uint64
 #: For each byte value and r, the place of its r-th set bit (8 if there is none).
+_ONES, _TOPS = U(0x0101010101010101), U(0x8080808080808080)
 _PLACE = np.full((256, 9), 8, np.uint8)
 for _v in range(256):
     for _r, _b in enumerate([b for b in range(8) if _v >> b & 1]):
@@ -58,14 +59,15 @@ class EliasFano:
     def _select(self, k: np.ndarray, directory: np.ndarray, flip: bool) -> np.ndarray:
         """Place of the k-th set (or, flipped, unset) bit of the high part."""
         word = np.searchsorted(directory, k.astype(directory.dtype), "right") - 1
-        rest = k - directory[word].astype(np.int64)
-        bits = self.high[word]
-        octets = (~bits if flip else bits)[:, None].view(np.uint8)
-        sums = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.int64)
-        at = (sums <= rest[:, None]).sum(axis=1)
-        rows = np.arange(len(k))
-        rest = rest - np.where(at > 0, sums[rows, np.maximum(at - 1, 0)], 0)
-        return 64 * word + 8 * at + _PLACE[octets[rows, at], rest]
+        rest = (k - directory[word].astype(np.int64)).astype(np.uint64)
+        bits = ~self.high[word] if flip else self.high[word]
+        # Each byte of ``sums`` holds the set bits up to and with that byte of the word.
+        sums = bits - ((bits >> U(1)) & U(0x5555555555555555))
+        sums = (sums & U(0x3333333333333333)) + ((sums >> U(2)) & U(0x3333333333333333))
+        sums = ((sums + (sums >> U(4))) & U(0x0F0F0F0F0F0F0F0F)) * _ONES
+        at = np.bitwise_count((((rest * _ONES) | _TOPS) - sums) & _TOPS).astype(np.uint64) << U(3)
+        rest -= ((sums << U(8)) >> at) & U(255)
+        return 64 * word + at.astype(np.int64) + _PLACE[(bits >> at) & U(255), rest]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -90,8 +92,8 @@ class EliasFano:
             return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
         x = x.astype(np.uint64)
         top, want = (x >> U(self.low_bits)).astype(np.int64), x & U((1 << self.low_bits) - 1)
-        lo = np.where(top > 0, self._select(np.maximum(top - 1, 0), self.zeros, True) + 1 - top, 0)
-        hi = self._select(top, self.zeros, True) - top
+        edges = self._select(np.concatenate((np.maximum(top - 1, 0), top)), self.zeros, True)
+        lo, hi = np.where(top > 0, edges[: len(x)] + 1 - top, 0), edges[len(x) :] - top
         end = hi.copy()
         live = np.flatnonzero(lo < hi)
         while len(live):  # binary search within the bucket

@@ -41,11 +41,11 @@ from lakeweave.llm.hashing import word_hashes
 
 END = U(0x5BD1E995A3C59AC3)
 DISCOUNT = 0.75
-SLICE = 2 << 20
+SLICE = 4 << 20
 #: Distinct pairs or words that a task holds before it emits a run.
 RUN = 2_000_000
 #: Tokens for each shard.
-MASS = 1_000_000
+MASS = 2_000_000
 #: Files that a worker keeps open, and bytes of files that are not mapped.
 FILES, HELD = 512, 512 << 20
 #: Quantisation: steps for each unit of log10.
@@ -271,21 +271,29 @@ class Trie:
             arrays, parts = self._open(level.files[part])
             tokens, pointers = parts["tokens"], parts["pointers"]
             start, n = arrays["contexts"].tolist()
+            # Contexts first, each once: its stretch, its weight, and the base above the last value of the stretch before.
             own = c[here] - start
-            at = np.flatnonzero((own >= 0) & (own < n))
-            low, high = pointers[own[at]].astype(np.int64), pointers[own[at] + 1].astype(np.int64)
-            at, low, high = at[high > low], low[high > low], high[high > low]
-            if not len(at):
+            inside = np.flatnonzero((own >= 0) & (own < n))
+            if not len(inside):
                 continue
-            place = here.start + at
-            begin[place], weight[place] = level.first[part] + low, value_of(arrays["weights"][own[at]])
-            known = np.flatnonzero(t[place] >= 0)
-            # Relative to the context: its stretch begins above the last value of the one before.
-            base = np.where(low[known] > 0, tokens[np.maximum(low[known] - 1, 0)] + U(1), U(0))
-            found, hit = tokens.successor(np.minimum(base + t[place[known]].astype(np.uint64), U(int(arrays["top"][0]))))
-            hit &= (found < high[known]) & (tokens[np.minimum(found, tokens.n - 1)] == base + t[place[known]].astype(np.uint64))
-            node[place[known[hit]]] = level.first[part] + found[hit]
-            p[place[known[hit]]] = value_of(arrays["q"][found[hit]])
+            own = own[inside]
+            new = np.append(True, own[1:] != own[:-1])
+            each = own[new]
+            bounds = pointers[np.concatenate((each, each + 1))].astype(np.int64)
+            low, high = bounds[: len(each)], bounds[len(each) :]
+            base = np.where(low > 0, tokens[np.maximum(low - 1, 0)] + U(1), U(0))
+            share = np.where(high > low, value_of(arrays["weights"][each]), 1.0)
+            which = np.cumsum(new) - 1
+            place = here.start + inside
+            begin[place], weight[place] = level.first[part] + low[which], share[which]
+            asked = np.flatnonzero((t[place] >= 0) & (high > low)[which])
+            which, place = which[asked], place[asked]
+            value = base[which] + t[place].astype(np.uint64)
+            most = U(int(arrays["top"][0]))
+            found, hit = tokens.successor(np.minimum(value, most))
+            hit &= (found < high[which]) & (value <= most)
+            node[place[hit]] = level.first[part] + found[hit]
+            p[place[hit]] = value_of(arrays["q"][found[hit]])
         for context, (first, q) in level.split.items():
             a, b = np.searchsorted(c, context, "left"), np.searchsorted(c, context, "right")
             begin[a:b], weight[a:b] = first, value_of(np.array([q], np.uint16))[0]
