@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -58,8 +61,29 @@ def sheet_elements(rows: DataFrame) -> DataFrame:
     return body.select("sheet", "row", text.alias("text"), F.when(F.col("row_type") == "data", "data").otherwise("section_header").alias("element_type"), "row_type", "attributes", F.coalesce(section, F.lit("")).alias("section"))
 
 
-def csv_elements(spark, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Elements of a CSV file's rows."""
-    lines = spark.read.option("encoding", encoding).csv(path)
-    cells = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in lines.columns])
-    return sheet_elements(lines.select(F.lit(path).alias("sheet"), F.monotonically_increasing_id().alias("row"), cells.alias("cells")))
+#: Encodings in the order in which they are tried.
+ENCODINGS = ("utf-8-sig", "utf-8", "cp1251", "latin-1")
+
+
+def csv_rows(content: bytes) -> list[list[str]]:
+    """Cells of a CSV file in the first encoding that fits all its bytes."""
+    for encoding in ENCODINGS:
+        try:
+            text = content.decode(encoding)
+        except UnicodeDecodeError:
+            continue
+        return [[c.strip() for c in row] for row in csv.reader(io.StringIO(text, newline=""))]
+    return []
+
+
+def csv_elements(spark, path: str) -> DataFrame:
+    """Elements of CSV files' rows; the encoding is found for each file."""
+
+    def read(frames):
+        for pdf in frames:
+            for sheet, content in zip(pdf["path"], pdf["content"], strict=True):
+                rows = csv_rows(content)
+                yield pd.DataFrame({"sheet": [sheet] * len(rows), "row": range(len(rows)), "cells": rows})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return sheet_elements(files.mapInPandas(read, "sheet string, row long, cells array<string>"))
