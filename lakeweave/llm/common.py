@@ -21,10 +21,12 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder named in spark.checkpoint.dir. Only a session within one process may do without: it gets one of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="lakeweave-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own

@@ -1,12 +1,13 @@
 """Token-ID output: encode whole texts, write Simple-8b files in doc_id order, read them back.
 
-Documents are range-partitioned by doc_id, so that file k's documents come before file k+1's, and a
-key's rows stay together. A task writes one file in the shared folder under a name of its own attempt
+Documents are range-partitioned by doc_id, so that file k's documents come before file k+1's; an id that
+many rows share is split over several files by the beginnings of its texts. A task writes one file in the
+shared folder under a name of its own attempt
 and returns that name; only successful tasks' names are read, so a lost executor or a second attempt
 leaves no half file in the result. The driver sees one small row for each file.
 
 Cases: a null text is empty and still gets the end id. Null doc_ids come first and stay null. Rows with
-equal doc_ids are ordered by text. An empty table gives no files and no rows. Other columns are ignored.
+equal doc_ids are ordered by the first 32 characters of their texts. An empty table gives no files and no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,7 +60,10 @@ def write_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, end_
             yield pa.RecordBatch.from_pydict({"file": [name], "shard": pa.array([shard], pa.int32()), "n_docs": [n_docs], "n_tokens": [n_tokens]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(write, WROTE)
+    # An id that many rows share is split by the beginnings of its texts, and rows that agree in these by their numbers.
+    dealt = rows.withColumn("head", F.substring("text", 1, 32)).withColumn("row", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = dealt.repartitionByRange("doc_id", "head", "row").sortWithinPartitions("doc_id", "head", "row")
+    return ordered.select("doc_id", "text").mapInArrow(write, WROTE)
 
 
 def read_token_files(spark: SparkSession, folder: str, files: list[tuple[str, int]]) -> DataFrame:

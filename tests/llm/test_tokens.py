@@ -85,6 +85,20 @@ def test_token_files(spark, docs, no_docs, tokenizer):
     assert token_files(spark, no_docs, tokenizer(NAMES[0]), 1).count() == 0
 
 
+def test_token_files_split_an_id_that_most_rows_share(spark, tokenizer, tmp_path):
+    rows = [(None, f"{i % 40} row of a hot id {i}") for i in range(400)] + [(7, "same words")] * 400 + [(i, f"text {i}") for i in range(100)]
+    folder = f"file://{tmp_path}/hot"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = token_files(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), tokenizer(NAMES[0]), 1, folder).orderBy("start").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ids = [r.doc_id for r in got]
+    assert ids == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0)) and len(got) == len(rows)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+    assert len(list((tmp_path / "hot").glob("*.s8b"))) == 4
+
+
 def test_encode_decode(spark, docs, no_docs, tokenizer):
     import hashlib
 
