@@ -2,12 +2,13 @@
 
 Documents are range-partitioned by doc_id, so that file k's documents come before file k+1's; an id that
 many rows share is split over several files by the beginnings of its texts. A task writes one file in the
-shared folder under a name of its own attempt
-and returns that name; only successful tasks' names are read, so a lost executor or a second attempt
-leaves no half file in the result. The driver sees one small row for each file.
+shared folder under a name of its own attempt and returns that name; only successful tasks' names are read,
+so a lost executor or a second attempt leaves no half file in the result. The driver sees one small row for
+each file.
 
 Cases: a null text is empty and still gets the end id. Null doc_ids come first and stay null. Rows with
-equal doc_ids are ordered by the first 32 characters of their texts. An empty table gives no files and no rows. Other columns are ignored.
+equal doc_ids are ordered by the first 32 characters of their texts. An empty table gives no files and no
+rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -66,6 +66,20 @@ def test_near_duplicates_with_graded_edits(spark):
     assert kept.columns == ["doc_id", "text"] and {r.doc_id for r in kept.collect()} == {d for d, _, _, k in brute_components(rows) if k}
 
 
+def test_near_duplicates_in_many_cells(spark, monkeypatch):
+    """Cells of eight rows, so that buckets are dealt over several cells on both sides, with sets of several sizes in a bucket."""
+    from lakeweave.llm import near_dups
+
+    monkeypatch.setattr(near_dups, "CELL", 8)
+    rnd = random.Random(13)
+    rows, bases = [], [[f"{w}{k % 19}" for k, w in enumerate(prose(rnd, 120).split())] for _ in range(3)]
+    for i in range(180):
+        words = edited(rnd, bases[i % 3], rnd.randrange(0, 9)).split()
+        rows.append((i, " ".join(words + [f"tail{k}" for k in range(rnd.randrange(0, 30))])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in near_duplicates(spark, frame).collect()), key=str) == sorted(brute_components(rows), key=str)
+
+
 def test_late_pass_lists_pairs_despite_a_chance_match_of_bytes():
     """Bytes agree in bands 0 and 5, but the two share the bucket of band 5 (and 7) only."""
     a = np.arange(BANDS * ROWS, dtype=np.uint8)
