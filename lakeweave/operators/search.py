@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,6 +53,36 @@ def fake_embedding(text: Column, size: int = 1024) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.conv(F.substring(digest, F.pmod(i, F.lit(32)) * 2 + 1, F.lit(2)), 16, 10).cast("double") / 255 * 2 - 1)
 
 
+def embed(chunks: DataFrame, text: str, encode, size: int, batch: int = 64, tries: int = 3, wait: float = 1.0) -> DataFrame:
+    """Chunks with a column embedding from ``encode`` (a list of texts to a list of vectors), ``batch`` texts at a time. A
+    failing call is tried again after growing waits; vectors of another size than ``size`` are an error. Blank texts get null."""
+    from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
+
+    def run(frames):
+        for pdf in frames:
+            texts = pdf[text].fillna("").tolist()
+            asked = [i for i, t in enumerate(texts) if t.strip()]
+            found: list = [None] * len(texts)
+            for at in range(0, len(asked), batch):
+                part = asked[at : at + batch]
+                for n in range(tries):
+                    try:
+                        vectors = encode([texts[i] for i in part])
+                        break
+                    except (OSError, TimeoutError):
+                        if n + 1 == tries:
+                            raise
+                        time.sleep(wait * 2**n)
+                if len(vectors) != len(part) or any(len(v) != size for v in vectors):
+                    raise ValueError(f"the encoder gave other vectors than {len(part)} of {size} numbers")
+                for i, v in zip(part, vectors, strict=True):
+                    found[i] = [float(x) for x in v]
+            yield pdf.assign(embedding=found)
+
+    schema = StructType([*chunks.schema.fields, StructField("embedding", ArrayType(FloatType()))])
+    return chunks.mapInPandas(run, schema)
+
+
 def retrieval_scores(questions: DataFrame, chunks: DataFrame, top_k: int = 5) -> DataFrame:
     """For each question (id, question, expected) its top chunks (chunk_id, text). Candidates share a term with it through
     an inverted index; a question that shares none is compared with all chunks, for which the expected terms alone can score."""

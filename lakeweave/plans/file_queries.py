@@ -156,7 +156,7 @@ def _pdf(pages: list[str]) -> bytes:
     return "\n".join(parts).encode("latin-1")
 
 
-def _by_customer(spark, sf_dir, kind: str, build):
+def _by_customer(spark, sf_dir, kind: str, build, read=office.office_blocks):
     """A file for each nation of its customers' names, in order, built in the tasks."""
     rows = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").cast("string").alias("uri")).agg(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "c_name", "c_mktsegment"))), lambda x: F.array(x["c_name"], x["c_mktsegment"])).alias("rows"))
 
@@ -164,7 +164,8 @@ def _by_customer(spark, sf_dir, kind: str, build):
     def made(rows: pd.Series) -> pd.Series:
         return rows.map(lambda r: build([list(x) for x in r]))
 
-    return office.office_blocks(rows.select("uri", F.lit(kind).alias("extractor"), made("rows").alias("content")))
+    made_files = rows.select("uri", F.lit(kind).alias("extractor"), made("rows").alias("content"))
+    return read(made_files)
 
 
 _CUSTOMERS = "c AS (SELECT CAST(c_nationkey AS VARCHAR) AS uri, c_name, c_mktsegment, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS n FROM customer)"
@@ -185,6 +186,60 @@ def x9_xlsx_blocks(spark, sf_dir):
     return _by_customer(spark, sf_dir, "xlsx", _xlsx).select("uri", "text", "kind", "section")
 
 
+@query(f"WITH {_CUSTOMERS} SELECT uri, CAST(n + 1 AS INT) AS page, repeat(c_name || ' ', CASE WHEN n % 2 = 0 THEN 40 ELSE 2 END) || '.' AS text, n % 2 = 1 AS needs_ocr FROM c WHERE n % 5 <> 4")
+def x7_pdf_units(spark, sf_dir):
+    """Every second page has little text, and every fifth is done already."""
+    pages = lambda rows: _pdf([(r[0] + " ") * (40 if i % 2 == 0 else 2) + "." for i, r in enumerate(rows)])
+    done = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("uri"), F.explode(F.sequence(F.lit(5), F.lit(100_000), F.lit(5))).alias("page")).distinct()
+    return _by_customer(spark, sf_dir, "pdf", pages, lambda files_: office.pdf_units(files_, done)).select("uri", "page", "text", "needs_ocr")
+
+
+@query(
+    f"""WITH {_CUSTOMERS}, l AS (SELECT uri, n, k, CASE WHEN k = 1 AND n % 3 = 0 THEN n % 900 + 1 || '. Part of ' || c_mktsegment WHEN k = 1 THEN 'TO ' || c_mktsegment || ' AND OTHERS' ELSE 'the name of the customer on this page is ' || c_name END AS text, k = 1 AS head FROM c, (SELECT unnest([1, 2]) AS k))
+SELECT uri, CAST(2 * n + k - 1 AS INT) AS idx, text, CASE WHEN head THEN 'section_header' ELSE 'data' END AS element_type, last_value(CASE WHEN head THEN text END IGNORE NULLS) OVER (PARTITION BY uri ORDER BY n, k) AS section, CAST(n + 1 AS INT) AS page FROM l"""
+)
+def x14_pdf_elements(spark, sf_dir):
+    head = lambda i, r: f"{i % 900 + 1}. Part of {r[1]}" if i % 3 == 0 else f"TO {r[1]} AND OTHERS"
+    pages = lambda rows: _pdf([f"{head(i, r)}) Tj T* (the name of the customer on this page is {r[0]}" for i, r in enumerate(rows)])
+    return _by_customer(spark, sf_dir, "pdf", pages, office.pdf_elements)
+
+
+@query(f"WITH {_CUSTOMERS} SELECT uri, CAST(n // 7 AS INT) AS part, count(*) AS pages, min(c_name) AS first_page FROM c GROUP BY uri, n // 7")
+def s12_pdf_parts(spark, sf_dir):
+    from lakeweave.sources import pdf
+
+    def read(made):
+        def split(frames):
+            for frame in frames:
+                rows = [(uri, i, len(texts), min(texts)) for uri, content in zip(frame["uri"], frame["content"], strict=True) for i, part in enumerate(pdf.split_pages(bytes(content), 7)) for texts in [pdf.page_texts(part)]]
+                yield pd.DataFrame(rows, columns=["uri", "part", "pages", "first_page"])
+
+        return made.select("uri", "content").mapInPandas(split, "uri string, part int, pages long, first_page string")
+
+    return _by_customer(spark, sf_dir, "pdf", lambda rows: _pdf([r[0] for r in rows]), read)
+
+
+@query("SELECT item_id, CAST(round(1e3 * list_sum(list_transform(range(0, 32), lambda i: (i + 1) * ((16 * (instr('0123456789abcdef', substr(sha256(text), CAST(i * 2 + 1 AS INT), 1)) - 1) + instr('0123456789abcdef', substr(sha256(text), CAST(i * 2 + 2 AS INT), 1)) - 1) / 256.0)))) AS BIGINT) AS digest FROM benchmark")
+def j21_embeddings(spark, sf_dir):
+    """An encoder that stands in for a model: the bytes of a text's SHA-256, exact in single precision."""
+    import hashlib
+
+    from lakeweave.operators import search
+
+    encode = lambda texts: [[b / 256 for b in hashlib.sha256(t.encode()).digest()] for t in texts]
+    got = search.embed(table(spark, sf_dir, "benchmark"), "text", encode, 32)
+    weighed = F.aggregate(F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return got.select("item_id", F.round(1e3 * weighed).cast("long").alias("digest"))
+
+
+@query(f"WITH {_LINES} SELECT 'enriched' AS kind, CAST(doc_id AS VARCHAR) AS document, CAST(idx AS INT) AS chunk_index, text FROM chunks UNION ALL SELECT 'minimal', CAST(doc_id AS VARCHAR), CAST(idx AS INT), text FROM chunks")
+def s11_exported_chunks(spark, sf_dir):
+    path = fresh_path(spark, "export")
+    datasets.export_chunks(line_chunks(spark, sf_dir).withColumn("page", F.lit(None).cast("int")).withColumn("section", F.lit("")), path)
+    whole = spark.read.schema("doc_id long, chunk_index int, text string").json(f"{path}/chunks_enriched").select(F.lit("enriched").alias("kind"), F.col("doc_id").cast("string").alias("document"), "chunk_index", "text")
+    return whole.unionByName(spark.read.schema("document string, chunk_index int, text string").json(f"{path}/chunks_minimal").select(F.lit("minimal").alias("kind"), "document", "chunk_index", "text"))
+
+
 _SHEET = """s AS (SELECT p_partkey AS row, p_name, p_brand, p_size, p_partkey % 10 = 0 AS head FROM part),
 t AS (SELECT *, last_value(CASE WHEN head THEN 'Раздел ' || row END IGNORE NULLS) OVER (ORDER BY row) AS section FROM s)
 SELECT row, CASE WHEN head THEN 'Раздел ' || row WHEN row % 3 = 0 THEN p_name || ' (' || p_brand || ') [шт]' ELSE p_name || ' (' || p_brand || ') - ' || p_size || ' шт' END AS text,

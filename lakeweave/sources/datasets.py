@@ -222,3 +222,22 @@ def demo(spark: SparkSession, html: str, title: str = "demo") -> DataFrame:
     blocks = markup.html_blocks(page, "doc_id", "html").select("doc_id", F.col("pos").alias("idx"), "text", F.lit("markup").alias("kind"), F.lit(None).cast("int").alias("page"), F.lit("").alias("section"))
     chunks = K.chunk_extracted(blocks)
     return chunks.select(*T.minimal_record(F.col("text"), F.col("doc_id"), F.col("page"), F.col("section"), F.col("chunk_index")))
+
+
+def export_chunks(chunks: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Chunks (doc_id, chunk_index, text, page, section, ...) as two sets of JSON lines: whole, and as retrieval records."""
+    ordered = chunks.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "chunk_index")
+    ordered.write.mode(mode).json(f"{path}/chunks_enriched")
+    minimal = T.minimal_record(F.col("text"), F.col("doc_id").cast("string"), F.col("page"), F.col("section"), F.col("chunk_index"))
+    ordered.select(*minimal).write.mode(mode).json(f"{path}/chunks_minimal")
+
+
+def render_template(template: str, metrics: dict) -> str:
+    """A Markdown template with {{name}} places filled from a run's metrics; names that are missing are an error."""
+    import re
+
+    wanted = set(re.findall(r"\{\{\s*([\w.]+)\s*\}\}", template))
+    if unknown := wanted - metrics.keys():
+        raise KeyError(f"no such metrics: {', '.join(sorted(unknown))}")
+    shown = lambda v: f"{v:,}" if isinstance(v, int) and not isinstance(v, bool) else f"{v:.4g}" if isinstance(v, float) else str(v)
+    return re.sub(r"\{\{\s*([\w.]+)\s*\}\}", lambda m: shown(metrics[m.group(1)]), template)

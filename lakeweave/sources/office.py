@@ -134,3 +134,50 @@ def office_blocks(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["uri", "pos", "text", "kind", "page", "section", "error"]).astype({"page": "Int32"})
 
     return files.where(F.col("extractor").isin(*READERS)).select("uri", "extractor", "content").mapInPandas(read, BLOCKS)
+
+
+UNITS = "uri string, page int, text string, needs_ocr boolean, error string"
+ELEMENTS = "uri string, idx int, text string, element_type string, section string, page int"
+
+
+def pdf_units(files: DataFrame, done: DataFrame | None = None, recognise=None) -> DataFrame:
+    """A unit for each page of PDFs (uri, content) that isn't in ``done`` (uri, page) yet. A page of little text goes to
+    ``recognise`` (content, page), if there is one, else it is marked; what fails is a row with an error."""
+
+    def read(frames):
+        for frame in frames:
+            rows = []
+            for uri, content in zip(frame["uri"], frame["content"], strict=True):
+                try:
+                    for page, text in enumerate(pdf.page_texts(bytes(content)), 1):
+                        little, error = len(text) < pdf.LITTLE_TEXT, None
+                        if little and recognise is not None:
+                            try:
+                                text, little = recognise(bytes(content), page), False
+                            except Exception as e:  # noqa: BLE001  one page's failure is its own
+                                error = type(e).__name__
+                        rows.append((uri, page, text, little, error))
+                except pdf.BadPdf as e:
+                    rows.append((uri, 0, None, None, str(e)))
+            yield pd.DataFrame(rows, columns=["uri", "page", "text", "needs_ocr", "error"]).astype({"page": "int32", "needs_ocr": "boolean"})
+
+    units = files.select("uri", "content").mapInPandas(read, UNITS)
+    return units if done is None else units.join(done.select("uri", "page").distinct(), ["uri", "page"], "left_anti").select(units.columns)
+
+
+def pdf_elements(files: DataFrame) -> DataFrame:
+    """Lines of PDFs (uri, content) as elements with running sections; PDFs that hold no texts give none."""
+
+    def read(frames):
+        for frame in frames:
+            rows = []
+            for uri, content in zip(frame["uri"], frame["content"], strict=True):
+                try:
+                    pages = pdf.page_texts(bytes(content))
+                except pdf.BadPdf:
+                    continue
+                if pdf.is_text_based(pages):
+                    rows += [(uri, i, *e) for i, e in enumerate(pdf.line_elements(pages))]
+            yield pd.DataFrame(rows, columns=["uri", "idx", "text", "element_type", "section", "page"])
+
+    return files.select("uri", "content").mapInPandas(read, ELEMENTS)

@@ -69,9 +69,18 @@ def page_texts(content: bytes, max_pages: int = 1000) -> list[str]:
             ends = [*places[3::2], len(packed) - first]
             for (number, at), end in zip(zip(places[::2], places[1::2], strict=True), ends, strict=True):
                 objects.setdefault(number, packed[first + at : first + end])
+    pages = _page_order(objects)
+    if len(pages) > max_pages:
+        raise BadPdf("too many pages")
+    if not pages:
+        raise BadPdf("no pages")
+    return [_text(b"\n".join(_stream(objects[c]) for c in _contents(objects, n) if c in objects)) for n in pages]
+
+
+def _page_order(objects: dict[int, bytes]) -> list[int]:
+    """Numbers of the page objects in the order of the page tree."""
     pages, seen = [], set()
-    roots = [n for n, b in objects.items() if re.search(rb"/Type\s*/Pages\b", b) and not re.search(rb"/Parent\b", b)]
-    stack = list(reversed(roots))
+    stack = [n for n, b in objects.items() if re.search(rb"/Type\s*/Pages\b", b) and not re.search(rb"/Parent\b", b)][::-1]
     while stack:
         n = stack.pop()
         if n in seen or n not in objects:
@@ -82,11 +91,7 @@ def page_texts(content: bytes, max_pages: int = 1000) -> list[str]:
             stack += [int(k) for k in reversed(re.findall(rb"(\d+)\s+\d+\s+R", kids.group(1) if kids else b""))]
         else:
             pages.append(n)
-            if len(pages) > max_pages:
-                raise BadPdf("too many pages")
-    if not pages:
-        raise BadPdf("no pages")
-    return [_text(b"\n".join(_stream(objects[c]) for c in _contents(objects, n) if c in objects)) for n in pages]
+    return pages
 
 
 def _contents(objects: dict[int, bytes], page: int) -> list[int]:
@@ -114,3 +119,62 @@ def paragraphs(content: bytes, max_pages: int = 1000) -> list[tuple[str, int]]:
     if not out:
         raise BadPdf("ocr_required")
     return out
+
+
+#: Lines that begin a section, lines in capitals, and pages that are looked at to tell texts from scans.
+SECTION_NUMBER = re.compile(r"(?i)^\s*(\d{1,3}[\.\)]\s+|[IVXLC]+[\.\)]\s+|Раздел\s+|Глава\s+)")
+CAPITALS = re.compile(r"^[A-ZА-ЯЁ\s\d\-\.\,\(\)]{8,}$")
+SAMPLED, TEXT_PAGE, LITTLE_TEXT = 5, 50, 400
+
+
+def is_text_based(pages: list[str]) -> bool:
+    """Whether more than half of up to five pages, spread evenly, hold more than 50 characters."""
+    n = min(SAMPLED, len(pages))
+    return n > 0 and 2 * sum(len(pages[i * len(pages) // n].strip()) > TEXT_PAGE for i in range(n)) > n
+
+
+def heads_section(line: str) -> bool:
+    """Numbered lines, and lines of ten characters or more in capitals that are mostly letters."""
+    return bool(SECTION_NUMBER.match(line)) or (len(line) >= 10 and bool(CAPITALS.match(line)) and sum(map(str.isalpha, line)) >= 0.4 * len(line))
+
+
+def line_elements(pages: list[str]) -> list[tuple[str, str, str, int]]:
+    """(text, element_type, section, page) of each line of three characters or more."""
+    out, section = [], ""
+    for page, text in enumerate(pages, 1):
+        for line in filter(lambda x: len(x) >= 3, map(str.strip, text.split("\n"))):
+            kind = "section_header" if heads_section(line) else "data"
+            section = line if kind == "section_header" else section
+            out.append((line, kind, section, page))
+    return out
+
+
+def split_pages(content: bytes, pages_per_part: int = 50) -> list[bytes]:
+    """Parts of a PDF of at most so many pages, each with the objects that its pages need."""
+    objects = {int(n): body for n, body in _OBJECT.findall(content)}
+    order = [n for n in _page_order(objects) if n in objects]
+    if len(order) <= pages_per_part:
+        return [content]
+    references = lambda body: [int(k) for k in re.findall(rb"(\d+)\s+\d+\s+R", _STREAM.sub(b"", body))]
+    parts = []
+    for at in range(0, len(order), pages_per_part):
+        own = order[at : at + pages_per_part]
+        root = max(objects) + 1
+        kept = {n: re.sub(rb"/Parent\s+\d+\s+\d+\s+R", b"/Parent %d 0 R" % root, objects[n]) for n in own}
+        stack = [k for b in kept.values() for k in references(b)]
+        while stack:
+            n = stack.pop()
+            if n not in kept and n in objects and not re.search(rb"/Type\s*/(Pages|Page|Catalog)\b", objects[n]):
+                kept[n] = objects[n]
+                stack += references(objects[n])
+        kids = b" ".join(b"%d 0 R" % n for n in own)
+        kept[root] = b" << /Type /Pages /Kids [%s] /Count %d >> " % (kids, len(own))
+        kept[root + 1] = b" << /Type /Catalog /Pages %d 0 R >> " % root
+        body, places = bytearray(b"%PDF-1.4\n"), {}
+        for n in sorted(kept):
+            places[n] = len(body)
+            body += b"%d 0 obj%sendobj\n" % (n, kept[n])
+        start = len(body)
+        body += b"xref\n0 1\n0000000000 65535 f \n" + b"".join(b"%d 1\n%010d 00000 n \n" % (n, places[n]) for n in sorted(kept))
+        parts.append(bytes(body + b"trailer << /Size %d /Root %d 0 R >>\nstartxref\n%d\n%%%%EOF\n" % (root + 2, root + 1, start)))
+    return parts

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +65,44 @@ def drain(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint:
 def queue_stats(states: DataFrame) -> DataFrame:
     """Tasks by state, and how many are active."""
     return states.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("state").isin("pending", "running")).alias("active"))
+
+
+class Tasks:
+    """Q5: background work of the driver: each task runs in a thread of its own under a job group, and tells its state and progress."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.records, self.lock = spark, {}, threading.Lock()
+
+    def submit(self, name: str, work: Callable, *args) -> None:
+        """Start work(report, *args); report(done, total) tells how far it is."""
+        record = {"state": "pending", "done": 0, "total": 0, "result": None, "error": None}
+        with self.lock:
+            if name in self.records:
+                raise ValueError(f"there is a task {name} already")
+            self.records[name] = record
+
+        def report(done: int, total: int) -> None:
+            record.update(done=done, total=total)
+
+        def run() -> None:
+            self.spark.sparkContext.setJobGroup(name, name, True)
+            record["state"] = "running"
+            try:
+                record.update(result=work(report, *args), state="completed")
+            except Exception as e:  # noqa: BLE001  told by the record
+                record.update(error=str(e) or type(e).__name__, state="cancelled" if record["state"] == "cancelled" else "failed")
+
+        record["thread"] = InheritableThread(target=run, daemon=True)
+        record["thread"].start()
+
+    def cancel(self, name: str) -> None:
+        """Stop a task's running jobs."""
+        self.records[name]["state"] = "cancelled"
+        self.spark.sparkContext.cancelJobGroup(name)
+
+    def wait(self, name: str, seconds: float | None = None) -> dict:
+        self.records[name]["thread"].join(seconds)
+        return self.state(name)
+
+    def state(self, name: str) -> dict:
+        return {k: v for k, v in self.records[name].items() if k != "thread"}

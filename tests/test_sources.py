@@ -199,3 +199,66 @@ def test_chunk_files_at_any_depth(spark, tmp_path):
     (folder / "c1.json").write_text(json.dumps({"document": "d", "chunk_index": 0, "text": "words", "token_count": 1}))
     assert sources.chunk_files(spark, str(tmp_path)).count() == 1
     assert sources.chunk_files(spark, str(tmp_path)).select(F.max("text")).first()[0] == "words"
+
+
+def test_pdf_parts_and_elements():
+    parts = pdf.split_pages(a_pdf(*(f"page {i}" for i in range(7)), packed=True), 3)
+    assert [pdf.page_texts(p) for p in parts] == [["page 0", "page 1", "page 2"], ["page 3", "page 4", "page 5"], ["page 6"]]
+    assert pdf.split_pages(a_pdf("one"), 3) == [a_pdf("one")]
+    assert pdf.is_text_based(["x" * 60, "", "x" * 60]) and not pdf.is_text_based(["x" * 60, ""]) and not pdf.is_text_based([])
+    got = pdf.line_elements(["1. Scope\n1.2 some words\nab", "GENERAL PROVISIONS\nmore words"])
+    assert got == [("1. Scope", "section_header", "1. Scope", 1), ("1.2 some words", "data", "1. Scope", 1), ("GENERAL PROVISIONS", "section_header", "GENERAL PROVISIONS", 2), ("more words", "data", "GENERAL PROVISIONS", 2)]
+
+
+def test_pdf_units_ask_for_recognition(spark):
+    files_ = spark.createDataFrame([("a", a_pdf("word " * 100, "", "few")), ("b", b"x")], "uri string, content binary")
+
+    def recognise(content, page):
+        if page == 3:
+            raise OSError("blurred")
+        return "seen"
+
+    plain = {(r.uri, r.page): (r.needs_ocr, r.error) for r in office.pdf_units(files_).collect()}
+    assert plain == {("a", 1): (False, None), ("a", 2): (True, None), ("a", 3): (True, None), ("b", 0): (None, "not a PDF")}
+    done = spark.createDataFrame([("a", 1)], "uri string, page int")
+    asked = {(r.uri, r.page): (r.text, r.error) for r in office.pdf_units(files_, done, recognise).collect()}
+    assert asked == {("a", 2): ("seen", None), ("a", 3): ("few", "OSError"), ("b", 0): (None, "not a PDF")}
+
+
+def test_embedding_in_batches(spark):
+    from lakeweave.operators import search
+
+    rows = spark.createDataFrame([(i, None if i == 3 else " " if i == 4 else f"t{i}") for i in range(150)], "k int, text string").coalesce(1)
+    calls = []
+
+    def encode(texts):
+        calls.append(1)
+        if len(calls) == 1:
+            raise TimeoutError
+        assert len(texts) <= 64
+        return [[float(t[1:]), 1.0] for t in texts]
+
+    got = {r.k: r.embedding for r in search.embed(rows, "text", encode, 2, wait=0.01).collect()}
+    assert got[3] is None and got[4] is None and got[149] == [149.0, 1.0] and len(got) == 150
+    with pytest.raises(Exception, match="other vectors"):
+        search.embed(rows, "text", lambda texts: [[1.0]] * len(texts), 2).collect()
+
+
+def test_background_tasks_and_templates(spark):
+    from lakeweave.streaming import queue
+
+    tasks = queue.Tasks(spark)
+
+    def work(report, n):
+        report(1, 2)
+        return spark.range(n).count()
+
+    tasks.submit("good", work, 10)
+    tasks.submit("bad", lambda report: 1 // 0)
+    assert tasks.wait("good", 60) == {"state": "completed", "done": 1, "total": 2, "result": 10, "error": None}
+    assert tasks.wait("bad", 60)["state"] == "failed" and "zero" in tasks.state("bad")["error"]
+    with pytest.raises(ValueError, match="already"):
+        tasks.submit("good", work, 1)
+    assert datasets.render_template("# {{name}}: {{ n }} of {{share}}", {"name": "run", "n": 12345, "share": 0.123456}) == "# run: 12,345 of 0.1235"
+    with pytest.raises(KeyError, match="n"):
+        datasets.render_template("{{n}}", {})
