@@ -25,12 +25,14 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def vector_search(chunks: DataFrame, documents: DataFrame, query: list[float], least: float = 0.3, k: int = 10, doc_filter: Column | None = None) -> DataFrame:
-    """The k (1 to 50) most similar chunks of known documents, ties to the smaller chunk_id."""
+    """The k (1 to 50) most similar chunks of known documents, ties to the smaller chunk_id; the similarity is rounded to
+    four places and a text cut to 500 characters."""
     sim = cosine(F.col("embedding"), F.array(*[F.lit(float(x)) for x in query]))
     rows = chunks.join(documents, "document_id").withColumn("similarity", sim).where(F.col("similarity") >= least)
     if doc_filter is not None:
         rows = rows.where(doc_filter)
-    return rows.orderBy(F.desc("similarity"), "chunk_id").limit(max(1, min(50, k)))
+    best = rows.orderBy(F.desc("similarity"), "chunk_id").limit(max(1, min(50, k))).withColumn("similarity", F.round("similarity", 4))
+    return best.withColumn("text", F.substring("text", 1, 500)) if "text" in best.columns else best
 
 
 def neighbour_similarity(vectors: DataFrame, reach: int = 2) -> DataFrame:

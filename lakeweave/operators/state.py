@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakeweave.functions import text as T
 from lakeweave.functions import urls as U
 
 
@@ -14,6 +15,14 @@ def page_of(rows: DataFrame, order: list[Column], limit: int, offset: int = 0) -
     return rows.orderBy(*order).offset(offset).limit(limit)
 
 
+def filtered_page(rows: DataFrame, tests: list[Column], order: list[Column], limit: int, offset: int = 0) -> DataFrame:
+    """A page of the rows for which all tests hold, with the number of all such rows."""
+    kept = rows
+    for t in tests:
+        kept = kept.where(t)
+    return page_of(kept, order, limit, offset).crossJoin(F.broadcast(kept.agg(F.count(F.lit(1)).alias("total"))))  # one row
+
+
 def next_index(chunks: DataFrame) -> DataFrame:
     """The next free index of each document."""
     return chunks.groupBy("doc_id").agg((F.coalesce(F.max("chunk_index"), F.lit(-1)) + 1).alias("next_index"))
@@ -26,15 +35,33 @@ def merge_chunks(chunks: DataFrame, picked: Column, separator: str = "\n\n") ->
     return chunks.where(~picked).select("doc_id", "chunk_index", "text", F.lit(1).cast("long").alias("merged")).unionByName(joined)
 
 
-def split_chunk(chunks: DataFrame, picked: Column, pattern: str) -> DataFrame:
-    """A picked chunk is split by a pattern (at most one for each document); later indexes move up."""
-    parts = F.filter(F.split("text", pattern), lambda p: F.trim(p) != "")
-    made = chunks.withColumn("parts", F.when(picked, parts).otherwise(F.array("text")))
+def _spread_parts(made: DataFrame) -> DataFrame:
+    """Rows with an array of parts become a row for each, and later indexes of their document move up."""
     grown = F.sum(F.size("parts") - 1).over(Window.partitionBy("doc_id").orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, -1))
     moved = made.withColumn("base", F.col("chunk_index") + F.coalesce(grown, F.lit(0)))
     return moved.select("doc_id", "base", F.posexplode("parts").alias("pos", "text")).select("doc_id", (F.col("base") + F.col("pos")).cast("long").alias("chunk_index"), "text")
 
 
+def _sound_parts(parts: Column) -> Column:
+    """Stripped parts that aren't empty; a split that gives fewer than two leaves the chunk as it is."""
+    kept = F.filter(F.transform(parts, T.strip), lambda p: p != "")
+    return F.when(F.size(kept) >= 2, kept).otherwise(F.array("text"))
+
+
+def split_chunk(chunks: DataFrame, picked: Column, pattern: str) -> DataFrame:
+    """Picked chunks are split by a pattern into two parts or more; later indexes move up."""
+    return _spread_parts(chunks.withColumn("parts", F.when(picked, _sound_parts(F.split("text", pattern))).otherwise(F.array("text"))))
+
+
+def split_chunk_at(chunks: DataFrame, picks: DataFrame) -> DataFrame:
+    """Chunks that picks (doc_id, chunk_index, positions array<int>) name are split at the positions within their texts."""
+    inner = F.array_sort(F.array_distinct(F.filter("positions", lambda p: (p > 0) & (p < F.length("text")))))
+    edges = F.concat(F.array(F.lit(0)), inner, F.array(F.length("text")))
+    cut = F.transform(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: F.substring(F.col("text"), F.get(edges, i - 1) + 1, F.get(edges, i) - F.get(edges, i - 1)))
+    both = chunks.join(picks, ["doc_id", "chunk_index"], "left")
+    return _spread_parts(both.withColumn("parts", F.when(F.col("positions").isNotNull(), _sound_parts(cut)).otherwise(F.array("text"))).drop("positions"))
+
+
 def edit_chunks(chunks: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chunks with new texts (doc_id, chunk_index, new_text), and history rows of what changed."""
     both = chunks.join(edits, ["doc_id", "chunk_index"], "left")

@@ -510,7 +510,24 @@ def j5_history_page(spark, sf_dir):
     return S.page_of(rows, [F.desc("ts"), F.col("event_id")], 40, 5).select("event_id", "user_id", "event_type")
 
 
-_TURNS = "conv_id AS doc_id, turn AS chunk_index, text"
+@query("SELECT doc_id, n_chars, (SELECT count(*) FROM documents WHERE lang = 'en' AND n_chars > 300) AS total FROM documents WHERE lang = 'en' AND n_chars > 300 ORDER BY doc_id LIMIT 30 OFFSET 10")
+def j4_filtered_page(spark, sf_dir):
+    """A page with the number of all rows that pass is the feature here."""
+    docs = table(spark, sf_dir, "documents")
+    return S.filtered_page(docs, [F.col("lang") == "en", F.col("n_chars") > 300], [F.col("doc_id")], 30, 10).select("doc_id", "n_chars", "total")
+
+
+@query(
+    f"""WITH q AS (SELECT conv_id, turn, text, length(text) AS n FROM conversations),
+s AS (SELECT *, list_filter(list_transform([substr(text, 1, least(10, n)), substr(text, 11, greatest(0, least(50, n) - 10)), substr(text, 51)], lambda x: {_STRIP.format("x")}), lambda x: x <> '') AS ps FROM q),
+p AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 1 AND len(ps) >= 2 THEN ps ELSE [text] END AS ps FROM s),
+b AS (SELECT *, turn + coalesce(sum(len(ps) - 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM p)
+SELECT conv_id AS doc_id, CAST(base + i - 1 AS BIGINT) AS chunk_index, ps[i] AS text FROM b, LATERAL (SELECT unnest(range(1, len(ps) + 1)) AS i)"""
+)
+def j8_split_at_positions(spark, sf_dir):
+    turns = _turns(spark, sf_dir)
+    picks = turns.where("chunk_index % 3 = 1").select("doc_id", "chunk_index", F.array(F.lit(50), F.lit(10), F.lit(0), F.lit(10), F.lit(10**6)).alias("positions"))
+    return S.split_chunk_at(turns, picks)
 
 
 def _turns(spark, sf_dir) -> DataFrame:

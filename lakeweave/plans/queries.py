@@ -370,7 +370,8 @@ def j7_merge_chunks(spark, sf_dir):
 
 
 @query(
-    r"""WITH p AS (SELECT conv_id, turn, CASE WHEN turn = 0 THEN list_filter(regexp_split_to_array(text, '\. '), lambda x: trim(x) <> '') ELSE [text] END AS ps FROM conversations),
+    r"""WITH q AS (SELECT conv_id, turn, text, list_filter(list_transform(regexp_split_to_array(text, '\. '), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS ps FROM conversations),
+p AS (SELECT conv_id, turn, CASE WHEN turn = 0 AND len(ps) >= 2 THEN ps ELSE [text] END AS ps FROM q),
 b AS (SELECT *, turn + coalesce(sum(len(ps) - 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM p)
 SELECT conv_id AS doc_id, CAST(base + i - 1 AS BIGINT) AS chunk_index, ps[i] AS text FROM b, LATERAL (SELECT unnest(range(1, len(ps) + 1)) AS i)"""
 )
@@ -397,14 +398,14 @@ def j19_set_default(spark, sf_dir):
 @query(
     """WITH q AS (SELECT embedding AS e FROM embeddings ORDER BY vec_id LIMIT 1),
 s AS (SELECT vec_id AS chunk_id, label AS document_id, list_dot_product(CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])) / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) * list_dot_product(CAST(e AS DOUBLE[]), CAST(e AS DOUBLE[]))) AS sim FROM embeddings, q)
-SELECT chunk_id, document_id, CAST(floor(sim * 1000) AS BIGINT) AS sim_milli FROM s WHERE sim >= 0.05 ORDER BY sim DESC, chunk_id LIMIT 10"""
+SELECT chunk_id, document_id, CAST(round(sim * 10000) AS BIGINT) AS sim_e4 FROM s WHERE sim >= 0.05 ORDER BY sim DESC, chunk_id LIMIT 10"""
 )
 def j1_vector_search(spark, sf_dir):
     """The ten best are the feature here."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("label").alias("document_id"), "embedding")
     asked = vectors.orderBy("chunk_id").first().embedding
     found = J.vector_search(vectors, vectors.select("document_id").distinct(), list(asked), 0.05, 10)
-    return found.select("chunk_id", "document_id", F.floor(F.col("similarity") * 1000).alias("sim_milli"))
+    return found.select("chunk_id", "document_id", F.round(F.col("similarity") * 10000).cast("long").alias("sim_e4"))
 
 
 @query(
