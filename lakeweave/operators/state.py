@@ -69,6 +69,16 @@ def edit_chunks(chunks: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFra
     return both.select("doc_id", "chunk_index", F.coalesce("new_text", "text").alias("text")), history
 
 
+def reembed(edited: DataFrame, vectors: DataFrame, history: DataFrame, encode, size: int) -> DataFrame:
+    """Vectors (doc_id, chunk_index, embedding) after edits: chunks whose text has changed are encoded again, the others keep theirs."""
+    from lakeweave.operators.search import embed
+
+    on = ["doc_id", "chunk_index"]
+    changed = history.select(on).distinct()
+    new = embed(edited.join(changed, on, "left_semi").select(*on, "text"), "text", encode, size).select(*on, "embedding")
+    return vectors.join(changed, on, "left_anti").select(*on, "embedding").unionByName(new)
+
+
 def delete_rows(rows: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows without the keys, and the deleted ones for the history."""
     return rows.join(keys.select(on).distinct(), on, "left_anti"), rows.join(keys.select(on).distinct(), on, "left_semi")

@@ -240,6 +240,31 @@ def s11_exported_chunks(spark, sf_dir):
     return whole.unionByName(spark.read.schema("document string, chunk_index int, text string").json(f"{path}/chunks_minimal").select(F.lit("minimal").alias("kind"), "document", "chunk_index", "text"))
 
 
+@query(
+    f"""WITH {_CUSTOMERS}, u AS (SELECT DISTINCT uri FROM c), k AS (SELECT uri, CASE WHEN CAST(uri AS INT) % 5 = 0 THEN 'known' ELSE 'upload' END AS status FROM u),
+n AS (SELECT uri, count(*) AS pages FROM c GROUP BY uri)
+SELECT uri, status, CAST(i AS INT) AS part, least(20, pages - 20 * i) AS pages FROM k JOIN n USING (uri), LATERAL (SELECT unnest(range(0, CASE WHEN status = 'upload' THEN (pages + 19) // 20 ELSE 1 END)) AS i) WHERE status = 'upload'
+UNION ALL SELECT uri, status, 0, NULL FROM k WHERE status = 'known' UNION ALL SELECT uri || 'b', CASE WHEN status = 'known' THEN 'known' ELSE 'duplicate' END, 0, NULL FROM k"""
+)
+def q6_upload_plan(spark, sf_dir):
+    """Each nation's file twice, of which every fifth has been uploaded before, in parts of 20 pages."""
+    from lakeweave.sources import pdf
+
+    def read(made):
+        one = made.select("uri", F.concat("uri", F.lit(".pdf")).alias("filename"), F.lit("application/pdf").alias("media_type"), "content")
+        both = one.unionByName(one.withColumn("uri", F.concat("uri", F.lit("b"))))
+        known = one.where("CAST(uri AS INT) % 5 = 0").select(F.sha2("content", 256).alias("sha256"))
+
+        def count(frames):
+            for frame in frames:
+                pages = [None if c is None else len(pdf.page_texts(bytes(c))) for c in frame["content"]]
+                yield frame[["uri", "status", "part"]].assign(pages=pd.Series(pages, dtype="Int64"))
+
+        return datasets.upload_plan(both, known, 20).mapInPandas(count, "uri string, status string, part int, pages long")
+
+    return _by_customer(spark, sf_dir, "pdf", lambda rows: _pdf([r[0] for r in rows]), read)
+
+
 _SHEET = """s AS (SELECT p_partkey AS row, p_name, p_brand, p_size, p_partkey % 10 = 0 AS head FROM part),
 t AS (SELECT *, last_value(CASE WHEN head THEN 'Раздел ' || row END IGNORE NULLS) OVER (ORDER BY row) AS section FROM s)
 SELECT row, CASE WHEN head THEN 'Раздел ' || row WHEN row % 3 = 0 THEN p_name || ' (' || p_brand || ') [шт]' ELSE p_name || ' (' || p_brand || ') - ' || p_size || ' шт' END AS text,

@@ -500,6 +500,16 @@ def q3_streamed_states(spark, sf_dir):
     return last.groupBy("task_id").agg(F.max_by(F.struct("state", "retries"), "batch").alias("s")).select("task_id", "s.state", "s.retries")
 
 
+@query("SELECT CAST(user_id AS VARCHAR) AS task_id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'completed' ELSE 'enqueued' END AS event, count(*) AS n FROM events GROUP BY ALL")
+def q1_streamed_intake(spark, sf_dir):
+    """Events as files, taken a file at a time; a second drain with the same checkpoint finds nothing new."""
+    taken, out, checkpoint = fresh_path(spark, "intake"), fresh_path(spark, "intake-out"), fresh_path(spark, "intake-checkpoint")
+    _tasks(spark, sf_dir).repartition(3).write.parquet(taken)
+    for _ in range(2):
+        queue.drain(queue.intake(spark, taken, files_per_batch=1), lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"), checkpoint)
+    return spark.read.schema(queue.TASKS).parquet(out).groupBy("task_id", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- State -------------------------------------------------------------------------------------------------
 
 
@@ -545,6 +555,20 @@ def j9_edited_chunks(spark, sf_dir):
     return edited.join(history.select("doc_id", "chunk_index", F.lit(True).alias("changed")), ["doc_id", "chunk_index"], "left").withColumn("changed", F.coalesce("changed", F.lit(False)))
 
 
+@query(
+    """WITH e AS (SELECT conv_id AS doc_id, turn AS chunk_index, CASE WHEN turn = 1 THEN reverse(text) ELSE text END AS text, turn = 1 AND reverse(text) <> text AS changed FROM conversations)
+SELECT doc_id, chunk_index, CASE WHEN NOT changed THEN -1 ELSE ascii(text) END AS first_number FROM e"""
+)
+def j9_reembedded_chunks(spark, sf_dir):
+    """Old vectors hold -1, new ones the code of the text's first character."""
+    turns = _turns(spark, sf_dir)
+    edits = turns.where("chunk_index = 1").select("doc_id", "chunk_index", F.reverse("text").alias("new_text"))
+    edited, history = S.edit_chunks(turns, edits)
+    old = turns.select("doc_id", "chunk_index", F.array(F.lit(-1.0).cast("float")).alias("embedding"))
+    got = S.reembed(edited, old, history, lambda texts: [[float(ord(t[0]))] for t in texts], 1)
+    return got.select("doc_id", "chunk_index", F.get("embedding", F.lit(0)).cast("int").alias("first_number"))
+
+
 @query("SELECT conv_id AS doc_id, turn AS chunk_index, role = 'system' OR turn % 5 = 4 AS deleted FROM conversations")
 def j10_deleted_chunks(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_index"), "role")

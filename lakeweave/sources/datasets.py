@@ -241,3 +241,52 @@ def render_template(template: str, metrics: dict) -> str:
         raise KeyError(f"no such metrics: {', '.join(sorted(unknown))}")
     shown = lambda v: f"{v:,}" if isinstance(v, int) and not isinstance(v, bool) else f"{v:.4g}" if isinstance(v, float) else str(v)
     return re.sub(r"\{\{\s*([\w.]+)\s*\}\}", lambda m: shown(metrics[m.group(1)]), template)
+
+
+UPLOADS = "uri string, filename string, media_type string, sha256 string, status string, part int, parts int, content binary"
+
+
+def upload_plan(artifacts: DataFrame, known: DataFrame, pages_per_part: int = 50) -> DataFrame:
+    """Q6: what becomes of files (uri, filename, media_type, content): ``known`` by the hashes (sha256) of earlier runs, ``duplicate``
+    of a file with a smaller uri, or ``upload``, PDFs in parts of at most ``pages_per_part`` pages. Contents go with uploads only."""
+    hashed = artifacts.withColumn("sha256", F.sha2("content", 256))
+    first = hashed.groupBy("sha256").agg(F.min("uri").alias("first"))
+    judged = hashed.join(first, "sha256").join(known.select("sha256", F.lit(True).alias("seen")).distinct(), "sha256", "left")
+    status = F.when(F.col("seen"), "known").when(F.col("uri") != F.col("first"), "duplicate").otherwise("upload")
+    judged = judged.select("uri", "filename", "media_type", "sha256", status.alias("status"), "content")
+
+    def cut(frames):
+        from lakeweave.sources import pdf
+
+        for frame in frames:
+            for row in frame.to_dict("records"):
+                parts = [None]
+                if row["status"] == "upload":
+                    parts = [bytes(row["content"])]
+                    if row["media_type"] == "application/pdf":
+                        parts = pdf.split_pages(parts[0], pages_per_part)
+                rows = [row | {"part": i, "parts": len(parts), "content": p} for i, p in enumerate(parts)]
+                yield pd.DataFrame(rows)[["uri", "filename", "media_type", "sha256", "status", "part", "parts", "content"]]
+
+    return judged.mapInPandas(cut, UPLOADS)
+
+
+def upload_all(plan: DataFrame, send) -> DataFrame:
+    """Q6: send(filename, part, content) for each part that is to be uploaded, in the tasks; its answer (an id) or its error is the
+    result, and the hashes of files whose parts all got through are ``known`` to the next run."""
+
+    def run(frames):
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                answer = error = None
+                if row["status"] == "upload":
+                    try:
+                        answer = str(send(row["filename"], row["part"], bytes(row["content"])))
+                    except Exception as e:  # noqa: BLE001  told by the row
+                        error = str(e) or type(e).__name__
+                state = row["status"] if row["status"] != "upload" else "failed" if error else "uploaded"
+                out.append((row["uri"], row["sha256"], row["part"], state, answer, error))
+            yield pd.DataFrame(out, columns=["uri", "sha256", "part", "status", "answer", "error"])
+
+    return plan.mapInPandas(run, "uri string, sha256 string, part int, status string, answer string, error string")

@@ -262,3 +262,20 @@ def test_background_tasks_and_templates(spark):
     assert datasets.render_template("# {{name}}: {{ n }} of {{share}}", {"name": "run", "n": 12345, "share": 0.123456}) == "# run: 12,345 of 0.1235"
     with pytest.raises(KeyError, match="n"):
         datasets.render_template("{{n}}", {})
+
+
+def test_uploads_tell_what_failed(spark):
+    rows = [("a", "a.md", "text/markdown", b"one"), ("b", "b.md", "text/markdown", b"one"), ("c", "c.md", "text/markdown", b"bad"), ("d", "d.pdf", "application/pdf", a_pdf("x", "y", "z")), ("e", "e.md", "text/markdown", b"old")]
+    frame = spark.createDataFrame(rows, "uri string, filename string, media_type string, content binary")
+    known = frame.where("uri = 'e'").select(F.sha2("content", 256).alias("sha256"))
+
+    def send(name, part, content):
+        if content == b"bad":
+            raise OSError("refused")
+        return f"{name}#{part}"
+
+    got = {(r.uri, r.part): (r.status, r.answer, r.error) for r in datasets.upload_all(datasets.upload_plan(frame, known, 2), send).collect()}
+    assert got == {
+        ("a", 0): ("uploaded", "a.md#0", None), ("b", 0): ("duplicate", None, None), ("c", 0): ("failed", None, "refused"),
+        ("d", 0): ("uploaded", "d.pdf#0", None), ("d", 1): ("uploaded", "d.pdf#1", None), ("e", 0): ("known", None, None),
+    }
