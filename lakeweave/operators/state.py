@@ -104,8 +104,11 @@ def upsert(old: DataFrame, new: DataFrame, key: str, sticky: tuple[str, ...] = (
 
 def ranked(sources: DataFrame, status: str | None = None) -> DataFrame:
     """Sources by score, with their place as priority."""
+    from lakeweave.sources.discovery import numbered
+
     rows = sources if status is None else sources.where(F.col("status") == status)
-    return rows.withColumn("priority", F.row_number().over(Window.orderBy(F.desc("score"), "url")))
+    placed = numbered(rows.withColumn("at", F.struct((-F.col("score")).alias("down"), "url")), "at")
+    return placed.select(*sources.columns, (F.col("pos") + 1).cast("int").alias("priority"))
 
 
 def union_state(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -153,7 +156,10 @@ def ingest_plan(urls: DataFrame, processed: DataFrame, dead: DataFrame, batch: i
 def ingest_status(pages: DataFrame, known_hashes: DataFrame, min_blocks: int = 3, min_score: int = 2) -> DataFrame:
     """The status cascade for fetched pages (url, html, n_blocks, score, gate): error, duplicate, sparse, not a product, quarantined, processed."""
     hashed = pages.withColumn("sha256", F.sha2("html", 256)).join(known_hashes.select("sha256", F.lit(True).alias("known")).distinct(), "sha256", "left")
-    again = F.row_number().over(Window.partitionBy("sha256").orderBy("url")) > 1
+    # The first page of each content, pre-aggregated; pages without any (failed fetches) meet nowhere.
+    first = hashed.where("sha256 IS NOT NULL").groupBy("sha256").agg(F.min("url").alias("first"))
+    hashed = hashed.join(first, "sha256", "left")
+    again = F.col("url") != F.col("first")
     status = (
         F.when(F.col("html").isNull(), "fetch_error")
         .when(F.coalesce("known", F.lit(False)) | again, "duplicate")

@@ -18,8 +18,10 @@ DENIED = ("google.com", "youtube.com", "wikipedia.org", "github.com", "t.me", "v
 
 
 def first_seen(rows: DataFrame, key: str, order: str = "pos") -> DataFrame:
-    """Order-preserving distinct."""
-    return rows.withColumn("n_", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("n_ = 1").drop("n_")
+    """Order-preserving distinct: each key's first row, pre-aggregated, so that a key that many rows share is no burden."""
+    others = [c for c in rows.columns if c != key]
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*others), order).alias("r_"))
+    return first.select(*(F.col(c) if c == key else F.col(f"r_.{c}").alias(c) for c in rows.columns))
 
 
 def numbered(rows: DataFrame, order: str) -> DataFrame:
