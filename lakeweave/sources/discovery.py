@@ -178,7 +178,8 @@ def crawl(web: DataFrame, seeds: list[str] | DataFrame, policy: CrawlPolicy) ->
             break
         links = there.select(F.col("pos").alias("parent"), F.col("url").alias("base"), F.posexplode(U.anchors("body", policy.max_links)).alias("place", "href"))
         left.append(there.where(F.size(U.anchors("body", policy.max_links + 1)) > policy.max_links).select(F.lit("links truncated").alias("reason")))
-        found = links.select("parent", "place", U.canonical(U.resolve(F.col("base"), F.col("href"))).alias("url")).where("url IS NOT NULL")
+        # Resolved in a projection of its own: within one expression it would be repeated for each part of the URL.
+        found = links.select("parent", "place", U.resolve(F.col("base"), F.col("href")).alias("raw")).select("parent", "place", U.canonical("raw").alias("url")).where("url IS NOT NULL")
         first = found.groupBy("url").agg(F.min(F.struct("parent", "place")).alias("at"))
         level = settled(numbered(first, "at").select("pos", "url"), "crawl-links")
     both = lambda dfs: dfs[0] if len(dfs) == 1 else dfs[0].unionByName(both(dfs[1:]))
@@ -229,7 +230,7 @@ def catalogue(web: DataFrame, root: str, state: str, levels: int = 50, skip_leav
         if n and skip_leaves:
             opened = opened.where(U.is_listing("url"))
         links = opened.join(pages, "url").select(F.explode(U.anchors("body")).alias("href"), F.col("url").alias("base"))
-        found = links.select(U.canonical(U.resolve(F.col("base"), F.col("href"))).alias("url")).where("url IS NOT NULL").distinct()
+        found = links.select(U.resolve(F.col("base"), F.col("href")).alias("raw")).distinct().select(U.canonical("raw").alias("url")).where("url IS NOT NULL").distinct()
         found = found.where((U.domain("url") == U.domain(F.lit(root))) & U.is_under(F.lit(root), "url") & U.is_content("url"))
         new = found.join(known, "url", "left_anti").withColumn("fresh", F.lit(True))
         known.select("url", F.lit(False).alias("fresh")).unionByName(new).write.mode("overwrite").parquet(f"{state}/level={n + 1}")
