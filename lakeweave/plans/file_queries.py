@@ -182,7 +182,7 @@ def x6_pdf_pages(spark, sf_dir):
 
 @query(f"WITH {_CUSTOMERS} SELECT uri, CAST(2 * n + k AS INT) AS pos, CASE WHEN k = 0 THEN c_mktsegment ELSE c_name END AS text, CASE WHEN k = 0 THEN 'heading' ELSE 'text' END AS kind, c_mktsegment AS section FROM c, (SELECT unnest([0, 1]) AS k)")
 def x8_docx_blocks(spark, sf_dir):
-    return _by_customer(spark, sf_dir, "docx", lambda rows: _docx([p for r in rows for p in (("heading", r[1]), ("text", r[0]))])).select("uri", "pos", "text", "kind", "section")
+    return _sound(_by_customer(spark, sf_dir, "docx", lambda rows: _docx([p for r in rows for p in (("heading", r[1]), ("text", r[0]))]))).select("uri", "pos", "text", "kind", "section")
 
 
 @query(f"WITH {_CUSTOMERS} SELECT uri, string_agg(c_name || ' | ' || c_mktsegment, chr(10) ORDER BY n) AS text, 'table' AS kind, 'one' AS section FROM c GROUP BY uri")
