@@ -177,7 +177,7 @@ _CUSTOMERS = "c AS (SELECT CAST(c_nationkey AS VARCHAR) AS uri, c_name, c_mktseg
 
 @query(f"WITH {_CUSTOMERS} SELECT uri, CAST(n AS INT) AS pos, c_name AS text, 'text' AS kind, CAST(n + 1 AS INT) AS page FROM c")
 def x6_pdf_pages(spark, sf_dir):
-    return _by_customer(spark, sf_dir, "pdf", lambda rows: _pdf([r[0] for r in rows])).select("uri", "pos", "text", "kind", "page")
+    return _sound(_by_customer(spark, sf_dir, "pdf", lambda rows: _pdf([r[0] for r in rows]))).select("uri", "pos", "text", "kind", "page")
 
 
 @query(f"WITH {_CUSTOMERS} SELECT uri, CAST(2 * n + k AS INT) AS pos, CASE WHEN k = 0 THEN c_mktsegment ELSE c_name END AS text, CASE WHEN k = 0 THEN 'heading' ELSE 'text' END AS kind, c_mktsegment AS section FROM c, (SELECT unnest([0, 1]) AS k)")
@@ -206,7 +206,7 @@ SELECT uri, CAST(2 * n + k - 1 AS INT) AS idx, text, CASE WHEN head THEN 'sectio
 def x14_pdf_elements(spark, sf_dir):
     head = lambda i, r: f"{i % 900 + 1}. Part of {r[1]}" if i % 3 == 0 else f"TO {r[1]} AND OTHERS"
     pages = lambda rows: _pdf([f"{head(i, r)}) Tj T* (the name of the customer on this page is {r[0]}" for i, r in enumerate(rows)])
-    return _by_customer(spark, sf_dir, "pdf", pages, office.pdf_elements)
+    return _sound(_by_customer(spark, sf_dir, "pdf", pages, office.pdf_elements)).drop("error")
 
 
 @query(f"WITH {_CUSTOMERS} SELECT uri, CAST(n // 7 AS INT) AS part, count(*) AS pages, min(c_name) AS first_page FROM c GROUP BY uri, n // 7")
