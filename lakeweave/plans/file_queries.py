@@ -187,7 +187,7 @@ def x8_docx_blocks(spark, sf_dir):
 
 @query(f"WITH {_CUSTOMERS} SELECT uri, string_agg(c_name || ' | ' || c_mktsegment, chr(10) ORDER BY n) AS text, 'table' AS kind, 'one' AS section FROM c GROUP BY uri")
 def x9_xlsx_blocks(spark, sf_dir):
-    return _by_customer(spark, sf_dir, "xlsx", _xlsx).select("uri", "text", "kind", "section")
+    return _sound(_by_customer(spark, sf_dir, "xlsx", _xlsx)).select("uri", "text", "kind", "section")
 
 
 @query(f"WITH {_CUSTOMERS} SELECT uri, CAST(n + 1 AS INT) AS page, repeat(c_name || ' ', CASE WHEN n % 2 = 0 THEN 40 ELSE 2 END) || '.' AS text, n % 2 = 1 AS needs_ocr FROM c WHERE n % 5 <> 4")
