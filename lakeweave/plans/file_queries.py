@@ -213,13 +213,10 @@ def x14_pdf_elements(spark, sf_dir):
 def s12_pdf_parts(spark, sf_dir):
     from lakeweave.sources import pdf
 
-    def read(made):
-        def split(frames):
-            for frame in frames:
-                rows = [(uri, i, len(texts), min(texts)) for uri, content in zip(frame["uri"], frame["content"], strict=True) for i, part in enumerate(pdf.split_pages(bytes(content), 7)) for texts in [pdf.page_texts(part)]]
-                yield pd.DataFrame(rows, columns=["uri", "part", "pages", "first_page"])
-
-        return made.select("uri", "content").mapInPandas(split, "uri string, part int, pages long, first_page string")
+    def split(uri, content):
+        for i, part in enumerate(pdf.parts_of(content, 7)[1]):
+            texts = pdf.page_texts(part)
+            yield uri, i, len(texts), min(texts)
 
     return _by_customer(spark, sf_dir, "pdf", lambda rows: _pdf([r[0] for r in rows]), read)
 
