@@ -161,9 +161,8 @@ def _by_customer(spark, sf_dir, kind: str, build, read=office.office_blocks):
     """A file for each nation of its customers' names, in order, built in the tasks."""
     rows = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").cast("string").alias("uri")).agg(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "c_name", "c_mktsegment"))), lambda x: F.array(x["c_name"], x["c_mktsegment"])).alias("rows"))
 
-    @F.pandas_udf("binary")
-    def made(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: build([list(x) for x in r]))
+    made = each_row(rows.select("uri", "rows"), lambda uri, rows: [(uri, kind, build(rows))], "uri string, extractor string, content binary")
+    return read(made)
 
 
 def _sound(rows):
@@ -218,6 +217,7 @@ def s12_pdf_parts(spark, sf_dir):
             texts = pdf.page_texts(part)
             yield uri, i, len(texts), min(texts)
 
+    read = lambda made: each_row(made.select("uri", "content"), split, "uri string, part int, pages long, first_page string")
     return _by_customer(spark, sf_dir, "pdf", lambda rows: _pdf([r[0] for r in rows]), read)
 
 
@@ -257,12 +257,8 @@ def q6_upload_plan(spark, sf_dir):
         both = one.unionByName(one.withColumn("uri", F.concat("uri", F.lit("b"))))
         known = one.where("CAST(uri AS INT) % 5 = 0").select(F.sha2("content", 256).alias("sha256"))
 
-        def count(frames):
-            for frame in frames:
-                pages = [None if c is None else len(pdf.page_texts(bytes(c))) for c in frame["content"]]
-                yield frame[["uri", "status", "part"]].assign(pages=pd.Series(pages, dtype="Int64"))
-
-        return datasets.upload_plan(both, known, 20).mapInPandas(count, "uri string, status string, part int, pages long")
+        count = lambda uri, status, part, content: [(uri, status, part, None if content is None else len(pdf.page_texts(content)))]
+        return each_row(datasets.upload_plan(both, known, 20).select("uri", "status", "part", "content"), count, "uri string, status string, part int, pages long")
 
     return _by_customer(spark, sf_dir, "pdf", lambda rows: _pdf([r[0] for r in rows]), read)
 

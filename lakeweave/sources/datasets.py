@@ -18,6 +18,7 @@ from lakeweave.functions import text as T
 from lakeweave.operators import chunking as K
 from lakeweave.operators import quality as Q
 from lakeweave.operators.state import integrity_errors
+from lakeweave.rows import each_row
 from lakeweave.sources import files, markup, office
 
 REPORT = "processing-report.json"
@@ -255,20 +256,15 @@ def upload_plan(artifacts: DataFrame, known: DataFrame, pages_per_part: int = 50
     status = F.when(F.col("seen"), "known").when(F.col("uri") != F.col("first"), "duplicate").otherwise("upload")
     judged = judged.select("uri", "filename", "media_type", "sha256", status.alias("status"), "content")
 
-    def cut(frames):
+    def cut(uri, filename, media_type, sha256, status, content):
         from lakeweave.sources import pdf
 
-        for frame in frames:
-            for row in frame.to_dict("records"):
-                parts = [None]
-                if row["status"] == "upload":
-                    parts = [bytes(row["content"])]
-                    if row["media_type"] == "application/pdf":
-                        parts = pdf.split_pages(parts[0], pages_per_part)
-                rows = [row | {"part": i, "parts": len(parts), "content": p} for i, p in enumerate(parts)]
-                yield pd.DataFrame(rows)[["uri", "filename", "media_type", "sha256", "status", "part", "parts", "content"]]
+        n, parts = 1, iter([content if status == "upload" else None])
+        if status == "upload" and media_type == "application/pdf":
+            n, parts = pdf.parts_of(content, pages_per_part)
+        return ((uri, filename, media_type, sha256, status, i, n, p) for i, p in enumerate(parts))
 
-    return judged.mapInPandas(cut, UPLOADS)
+    return each_row(judged, cut, UPLOADS)
 
 
 def upload_all(plan: DataFrame, send) -> DataFrame:
