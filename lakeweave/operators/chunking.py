@@ -14,9 +14,12 @@ from pyspark.sql.window import Window
 
 from lakeweave.functions import text as T
 from lakeweave.operators import folds
+from lakeweave.rows import each_row
 
 CHUNKS = "doc_id string, chunk_index int, text string, token_count int, chunk_type string, section string, section_path array<string>, section_level int, page int, end_page int, block_types array<string>, oversized boolean, table_split boolean"
 
+COLUMNS = [c.split()[0] for c in CHUNKS.split(", ")]
+
 HEADS = ("heading", "section_header")
 
 
@@ -50,23 +53,24 @@ def blocks_from_units(units: DataFrame) -> DataFrame:
     return stack.select("doc_id", "idx", "pos", "page", "text", "types", names.alias("section_path"), F.coalesce(F.try_element_at(names, F.lit(-1)), F.lit("")).alias("section"), F.coalesce(F.try_element_at(F.transform("stack", lambda x: x["level"]), F.lit(-1)), F.lit(0)).alias("section_level"))
 
 
-def _frame(doc_id, chunks: list[folds.Block]) -> pd.DataFrame:
-    rows = [(doc_id, i, c.text, c.tokens, c.types[0] if c.types else "text", c.section, c.path, c.level, c.page, c.end_page, c.types, c.oversized, c.table_split) for i, c in enumerate(chunks)]
-    return pd.DataFrame(rows, columns=["doc_id", "chunk_index", "text", "token_count", "chunk_type", "section", "section_path", "section_level", "page", "end_page", "block_types", "oversized", "table_split"])
+def _rows(doc_id, chunks: list[folds.Block]) -> list[tuple]:
+    return [(str(doc_id), i, c.text, c.tokens, c.types[0] if c.types else "text", c.section, c.path, c.level, c.page, c.end_page, c.types, c.oversized, c.table_split) for i, c in enumerate(chunks)]
 
 
-def _blocks_of(pdf: pd.DataFrame) -> list[folds.Block]:
-    pdf = pdf.sort_values(["idx", "pos"])
-    return [folds.Block(t, int(p or 0), 0, s or "", list(path), int(n or 0), list(k)) for t, p, s, path, n, k in zip(pdf["text"], pdf["page"].fillna(0), pdf["section"], pdf["section_path"], pdf["section_level"].fillna(0), pdf["types"], strict=True)]
+def _folded(blocks: DataFrame, fold, schema: str) -> DataFrame:
+    """Rows of fold(doc_id, blocks in order) for each document: its blocks come as one row, so that no frame is made for it."""
+    columns = ("text", "page", "section", "section_path", "section_level", "types")
+    held = blocks.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("idx", "pos", *columns))).alias("b"))
 
+    def read(doc_id, *values):
+        return fold(doc_id, [folds.Block(t, int(p or 0), 0, s or "", path, int(n or 0), kinds) for t, p, s, path, n, kinds in zip(*values, strict=True)])
 
-def pack_chunks(blocks: DataFrame, target: int = 1000, limit: int = 1200) -> DataFrame:
-    """K3 with K4 to K7: chunks of blocks (doc_id, idx, pos, text, page, types, section, section_path, section_level)."""
+    return each_row(held.select("doc_id", *(F.col(f"b.{c}").alias(c) for c in columns)), read, schema)
 
-    def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _frame(str(key[0]), folds.pack_blocks(_blocks_of(pdf), target, limit)[0])
 
-    return blocks.groupBy("doc_id").applyInPandas(fold, CHUNKS)
+def pack_chunks(blocks: DataFrame, target: int = 1000, limit: int = 1200) -> DataFrame:
+    """K3 with K4 to K7: chunks of blocks (doc_id, idx, pos, text, page, types, section, section_path, section_level)."""
+    return _folded(blocks, lambda doc_id, own: _rows(doc_id, folds.pack_blocks(own, target, limit)[0]), CHUNKS)
 
 
 LOG = "doc_id string, blocks_in int, chunks_out int, token_limit_violations int, " + ", ".join(f"{name} int" for name in folds.COUNTERS)
@@ -75,11 +79,11 @@ LOG = "doc_id string, blocks_in int, chunks_out int, token_limit_violations int,
 def chunking_log(blocks: DataFrame, target: int = 1000, limit: int = 1200) -> DataFrame:
     """K9: what packing did to each document's blocks, a row a document; the run's log is this table's sums."""
 
-    def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        made, counts = folds.pack_blocks(_blocks_of(pdf), target, limit)
-        return pd.DataFrame([{"doc_id": str(key[0]), "blocks_in": len(pdf), "chunks_out": len(made), "token_limit_violations": sum(c.tokens > limit for c in made), **counts}])
+    def fold(doc_id, own: list[folds.Block]) -> list[tuple]:
+        made, counts = folds.pack_blocks(own, target, limit)
+        return [(str(doc_id), len(own), len(made), sum(c.tokens > limit for c in made), *(counts[name] for name in folds.COUNTERS))]
 
-    return blocks.groupBy("doc_id").applyInPandas(fold, LOG)
+    return _folded(blocks, fold, LOG)
 
 
 def chunk_extracted(blocks: DataFrame, max_tokens: int = 800) -> DataFrame:
@@ -107,7 +111,7 @@ def chunk_elements(elements: DataFrame, strategy: str, **options) -> DataFrame:
         pdf = pdf.sort_values("idx")
         rows = zip(pdf["text"].fillna(""), pdf["element_type"].fillna("text"), pdf["row_type"].fillna(""), pdf["page"], pdf["section"].fillna(""), strict=True)
         made = fold_of([folds.Element(t, e, r, None if pd.isna(p) else int(p), s) for t, e, r, p, s in rows], **options)
-        return _frame(str(key[0]), made)
+        return pd.DataFrame(_rows(key[0], made), columns=COLUMNS)
 
     return elements.select("doc_id", "idx", "text", "element_type", "row_type", "page", "section").groupBy("doc_id").applyInPandas(fold, CHUNKS)
 
