@@ -227,7 +227,10 @@ def demo(spark: SparkSession, html: str, title: str = "demo") -> DataFrame:
 
 def export_chunks(chunks: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Chunks (doc_id, chunk_index, text, page, section, ...) as two sets of JSON lines: whole, and as retrieval records."""
-    ordered = chunks.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "chunk_index")
+    from lakeweave.sources.scratch import settled
+
+    # Settled before its ranges are sampled and before it is written twice, so that chunks are worked out once.
+    ordered = settled(chunks, "export").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "chunk_index")
     ordered.write.mode(mode).json(f"{path}/chunks_enriched")
     minimal = T.minimal_record(F.col("text"), F.col("doc_id").cast("string"), F.col("page"), F.col("section"), F.col("chunk_index"))
     ordered.select(*minimal).write.mode(mode).json(f"{path}/chunks_minimal")
