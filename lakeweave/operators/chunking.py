@@ -151,22 +151,17 @@ def select_strategy(elements: DataFrame, hints: DataFrame) -> DataFrame:
 
 def split_text(text: Column, max_tokens: int = 512, overlap: int = 50) -> Column:
     """Windows of a text, as an array."""
-
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: folds.split_chars(t or "", max_tokens, overlap))
-
-    return cut(text)
+    return _cut(lambda t: folds.split_chars(t or "", max_tokens, overlap))(text)
 
 
 def split_rows(text: Column, max_tokens: int = 1536, header_lines: int = 1) -> Column:
     """Groups of a table's rows under its header, as an array."""
+    return _cut(lambda t: folds.split_rows(t or "", max_tokens, header_lines))(text)
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: folds.split_rows(t or "", max_tokens, header_lines))
 
-    return cut(text)
+def _cut(split):
+    # Without Arrow rows come a hundred at a time; Arrow batches may hold 10,000 texts and all their parts.
+    return F.udf(split, "array<string>", useArrow=False)
 
 
 def compare_strategies(elements: DataFrame, strategies: tuple[str, ...], **options) -> DataFrame:
