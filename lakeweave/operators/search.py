@@ -10,6 +10,9 @@ from pyspark.sql.window import Window
 
 from lakeweave.functions import text as T
 
+#: Fixed value: pairs of a question and a chunk that J3 counts at a time.
+PAIRS = 1 << 18
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -85,25 +88,102 @@ def embed(chunks: DataFrame, text: str, encode, size: int, batch: int = 64, trie
     return chunks.mapInPandas(run, schema)
 
 
+def _best_pairs(questions, made, top_k: int):
+    """For mapInArrow: the ``top_k`` best pairs of each of the questions (id, expected, terms) among a task's chunks (chunk_id, terms,
+    low, n). A task holds its batch, about ``PAIRS`` pairs and the best so far, however many chunks it reads."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        count = questions.num_rows
+        if not count or top_k < 1:
+            return
+        expected = [[e for e in x or [] if e is not None] for x in questions["expected"].to_pylist()]
+        points = 3 * np.array([len(x) for x in expected])
+        # The inverted index: the questions of term t are asking[ends[t] : ends[t + 1]].
+        lists = questions["terms"].combine_chunks()
+        words, codes = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+        vocabulary = words.unique()
+        term = pc.index_in(words, vocabulary).to_numpy()
+        asking, ends = codes[np.argsort(term, kind="stable")].astype("int64"), np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(vocabulary)))])
+        step, enough = max(1, PAIRS // count), max(1024, top_k * count)
+        seen, floor, best, waiting = np.zeros(count, bool), np.zeros(count, "int64"), [], 0
+
+        def overlaps(row, term, rows):
+            size = ends[term + 1] - ends[term]
+            at = np.arange(size.sum()) + np.repeat(ends[term] - (np.cumsum(size) - size), size)
+            return np.bincount(np.repeat(row, size) * count + asking[at], minlength=rows * count).reshape(rows, count)
+
+        def settle():
+            """The best of all rows found so far; a question that shares terms by now loses those found without."""
+            rows = pa.concat_tables(best)
+            q = rows["q"].to_numpy()
+            rows = rows.filter(pa.array((rows["overlap"].to_numpy() > 0) | ~seen[q]))
+            rows = rows.sort_by([("q", "ascending"), ("score", "descending"), ("hits", "descending"), ("n", "descending"), ("chunk_id", "ascending")])
+            q = rows["q"].to_numpy()
+            rows = rows.filter(pa.array(np.arange(len(q)) - np.searchsorted(q, q) < top_k)).combine_chunks()
+            q = rows["q"].to_numpy()
+            full = np.bincount(q, minlength=count) == top_k
+            floor[:] = 0
+            last = np.searchsorted(q, np.flatnonzero(full), side="right") - 1
+            floor[full] = rows["score"].to_numpy()[last]
+            best[:] = [rows]
+
+        for batch in batches:
+            lists = batch.column("terms")
+            words = lists.flatten()
+            found = pc.index_in(words, vocabulary.cast(words.type))
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            known = found.is_valid().to_numpy(zero_copy_only=False)
+            row, term = row[known], found.drop_null().to_numpy()
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                a, b = np.searchsorted(row, [start, start + part.num_rows])
+                overlap = overlaps(row[a:b] - start, term[a:b], part.num_rows)
+                new = overlap.any(axis=0) & ~seen
+                seen |= new
+                floor[new] = 0
+                # A chunk gets 3 points at most for each expected term: one further below the k-th largest can't be among the best.
+                least = np.maximum(floor, np.partition(overlap, part.num_rows - top_k, axis=0)[part.num_rows - top_k]) if part.num_rows >= top_k else floor
+                i, q = np.nonzero(((overlap > 0) | ~seen) & (overlap + points >= np.maximum(least, 1)))
+                low = part.column("low")
+                texts = {x: low[x].as_py() for x in np.unique(i).tolist()}
+                hits = np.array([sum(e in texts[x] for e in expected[y]) for x, y in zip(i.tolist(), q.tolist(), strict=True)], "int32")
+                overlap = overlap[i, q]
+                score = overlap + 3 * hits
+                keep = score >= np.maximum(least[q], 1)
+                if keep.any():
+                    i = pa.array(i[keep])
+                    best.append(pa.table({"q": q[keep], "overlap": overlap[keep], "score": score[keep], "hits": hits[keep], "n": part.column("n").take(i), "chunk_id": part.column("chunk_id").take(i)}))
+                    waiting += len(i)
+                if waiting >= enough:
+                    settle()
+                    waiting = 0
+        if best:
+            settle()
+            rows = best[0].append_column("id", questions["id"].combine_chunks().take(best[0]["q"].combine_chunks()))
+            yield from rows.select(made.names).cast(made).to_batches()
+
+    return run
+
+
 def retrieval_scores(questions: DataFrame, chunks: DataFrame, top_k: int = 5) -> DataFrame:
     """For each question (id, question, expected) its top chunks (chunk_id, text). Candidates share a term with it through
-    an inverted index; a question that shares none is compared with all chunks, for which the expected terms alone can score."""
-    asked = questions.select("id", "expected", F.array_distinct(F.concat(T.search_tokens("question"), F.flatten(F.transform("expected", T.search_tokens)))).alias("terms"))
-    postings = chunks.select("chunk_id", F.explode(F.array_distinct(T.search_tokens("text"))).alias("term"))
-    shared = asked.select("id", F.explode("terms").alias("term")).join(postings, "term").groupBy("id", "chunk_id").agg(F.count(F.lit(1)).alias("overlap"))
-    # A chunk gets 3 points at most for each expected term, so one whose overlap lies further below the k-th largest can't be
-    # among the best; texts are fetched for the others only.
-    best = shared.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("overlap")))).where(F.col("place") <= top_k)
-    least = best.groupBy("id").agg(F.min("overlap").alias("least"), F.max("place").alias("found")).join(asked.select("id", F.size("expected").alias("n")), "id")
-    floor = least.select("id", F.when(F.col("found") == top_k, F.col("least") - 3 * F.col("n")).otherwise(0).alias("floor"))
-    shared = shared.join(floor, "id").where("overlap >= floor").select("id", "chunk_id", "overlap")
-    lost = asked.join(floor, "id", "left_anti")
-    # A question without shared terms scores by its expected terms as substrings.
-    rest = lost.select("id", F.explode("expected").alias("e")).join(chunks.select("chunk_id", F.lower("text").alias("low")), F.expr("contains(low, lower(e))")).select("id", "chunk_id").distinct().withColumn("overlap", F.lit(0).cast("long"))
-    rows = shared.unionByName(rest).join(asked.select("id", "expected"), "id").join(chunks, "chunk_id")
-    hits = F.size(F.filter("expected", lambda e: F.contains(F.lower("text"), F.lower(e))))
-    rows = rows.withColumn("hits", hits).withColumn("score", F.col("overlap") + 3 * F.col("hits")).where("score > 0")
-    order = Window.partitionBy("id").orderBy(F.desc("score"), F.desc("hits"), F.desc(F.length("text")), "chunk_id")
+    an inverted index; a question that shares none is compared with all chunks, for which the expected terms alone can score.
+    The questions are a set that the driver and a task can hold. Each task reads its chunks once and keeps the best of each question,
+    so no table of pairs is made; while no chunk of a task shared a term, the task keeps the best by expected terms."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    terms = F.array_distinct(F.concat(T.search_tokens("question"), F.flatten(F.transform("expected", T.search_tokens))))
+    asked = questions.where("id IS NOT NULL").select("id", F.transform("expected", lambda e: F.lower(e).cast("binary")).alias("expected"), terms.alias("terms"))
+    read = chunks.where("chunk_id IS NOT NULL AND text IS NOT NULL").select("chunk_id", F.array_distinct(T.search_tokens("text")).alias("terms"), F.lower("text").cast("binary").alias("low"), F.length("text").alias("n"))
+    schema = StructType([asked.schema["id"], read.schema["chunk_id"], StructField("overlap", LongType()), StructField("score", LongType()), StructField("hits", IntegerType()), StructField("n", IntegerType())])
+    found = read.mapInArrow(_best_pairs(asked.toArrow(), to_arrow_schema(schema), top_k), schema)
+    shares = F.bool_or(F.col("overlap") > 0).over(Window.partitionBy("id"))
+    rows = found.withColumn("shares", shares).where(F.col("shares") == (F.col("overlap") > 0))
+    order = Window.partitionBy("id").orderBy(F.desc("score"), F.desc("hits"), F.desc("n"), "chunk_id")
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k).select("id", "rank", "chunk_id", "score", "hits")
 
 
