@@ -50,15 +50,32 @@ def test_retrieval_of_nothing(spark):
     assert tuple(J.hit_rate(asked, J.retrieval_scores(asked, chunks.limit(0))).first())[:2] == (1, 0)
 
 
-def test_retrieval_hands_on_the_best_only(spark):
-    """Every question shares a word with every chunk; tasks may hand on the best of each, not all pairs."""
-    asked = spark.range(10).selectExpr("cast(id AS string) AS id", "concat('copper number', id) AS question", "array('cable') AS expected")
-    chunks = spark.createDataFrame(spark.sparkContext.parallelize([(i, f"copper cable {i}") for i in range(3000)], 3), CHUNKS)
-    spark.sparkContext.setJobGroup("j3", "j3")
+def handed_on(spark, group, run):
+    """The most rows that a stage of ``run`` wrote for a shuffle."""
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        assert J.retrieval_scores(asked, chunks).count() == 50
+        run()
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     tracker, store = spark.sparkContext.statusTracker(), spark._jsc.sc().statusStore()
-    stages = {s for j in tracker.getJobIdsForGroup("j3") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)}
-    assert 0 < max(store.lastStageAttempt(s).shuffleWriteRecords() for s in stages) <= 3 * 10 * 5
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)}
+    return max(store.lastStageAttempt(s).shuffleWriteRecords() for s in stages)
+
+
+def test_tasks_hand_on_the_best_only(spark):
+    """Every question shares a word with every chunk; tasks may hand on the best of each, not all pairs."""
+    asked = spark.range(10).selectExpr("cast(id AS string) AS id", "concat('copper number', id) AS question", "array('cable') AS expected")
+    chunks = spark.createDataFrame(spark.sparkContext.parallelize([(i, f"copper cable {i}") for i in range(3000)], 3), CHUNKS)
+    assert 0 < handed_on(spark, "j3 scores", lambda: J.retrieval_scores(asked, chunks).collect()) <= 3 * 10 * 5
+    assert 0 < handed_on(spark, "j3 rate", lambda: J.hit_rate(asked, J.retrieval_scores(asked, chunks)).collect()) <= 3 * 10 * 5
+
+
+def test_hit_rate_equals_brute_force(spark):
+    r = random.Random(24)
+    words = ["copper", "cable", "tray", "steel", "wire"]
+    questions = [(f"q{i}", " ".join(r.choices(words, k=2)), r.choices(words, k=2)) for i in range(20)] + [("lost", "zzz", ["opp"]), ("none", "zzz", ["qqq"])]
+    chunks = [(i, " ".join(r.choices(words[:3], k=2))) for i in range(60)]
+    asked = spark.createDataFrame(questions, QUESTIONS)
+    hit = {row[0] for row in brute_force(questions, chunks, 5) if row[4] > 0}
+    assert 0 < len(hit) < 22 and "lost" in hit
+    assert tuple(J.hit_rate(asked, J.retrieval_scores(asked, spark.createDataFrame(chunks, CHUNKS))).first())[:2] == (22, len(hit))
